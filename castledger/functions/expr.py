@@ -19,12 +19,14 @@ TOTAL = "decimal(20,2)"
 TOTAL4 = "decimal(22,4)"
 # Raw floats pass through nine fractional digits before they are rounded.
 NUMERIC = "decimal(28,9)"
+# Unit prices and costs at the same scale, narrow enough to divide exactly.
+UNIT = "decimal(20,9)"
 
 # The code points Unicode lists as White_Space.
 UNICODE_SPACES = (
-    "\u0009\u000a\u000b\u000c\u000d \u0085  "
-    "           "
-    "    　"
+    "\u0009\u000a\u000b\u000c\u000d\u0020\u0085\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
 
@@ -99,8 +101,8 @@ def pct(part: Column, whole: Column, part_type: str = TOTAL) -> Column:
     return F.round(quotient * 100, 2).cast(TOTAL)
 
 
-def ratio(part: Column, whole: Column, digits: int) -> Column:
-    quotient = F.try_divide(part.cast(TOTAL), whole.cast(TOTAL))
+def ratio(part: Column, whole: Column, digits: int, operand: str = TOTAL) -> Column:
+    quotient = F.try_divide(part.cast(operand), whole.cast(operand))
     return F.round(quotient, digits).cast(f"decimal(22,{digits})")
 
 

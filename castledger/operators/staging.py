@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from castledger.functions.expr import (
-    int_round, money, month_of, numeric, rate, ratio, trim_all, upper_trim, year_of,
+    UNIT, int_round, money, month_of, numeric, rate, ratio, trim_all, upper_trim, year_of,
 )
 from castledger.sources.registry import INGESTED_AT
 
@@ -108,7 +108,7 @@ def stg_produtos(raw: DataFrame) -> DataFrame:
         upper_trim("status").alias("status"),
         *_strings("ncm"),
         *_moneys("custo_padrao_unitario", "preco_venda_unitario", "peso_kg"),
-        ratio(price - cost, F.nullif(price, numeric(F.lit(0))), 4).alias("margem_padrao_pct"),
+        ratio(price - cost, F.nullif(price, numeric(F.lit(0))), 4, UNIT).alias("margem_padrao_pct"),
         F.col("data_cadastro").cast("date").alias("data_cadastro"),
         INGESTED_AT,
     )
@@ -143,6 +143,6 @@ def dim_historico_custos(raw: DataFrame) -> DataFrame:
         F.col("data_vigencia_fim").cast("date").alias("valid_to"),
         F.col("is_current").cast("boolean").alias("is_current"),
         upper_trim("motivo").alias("motivo_alteracao"),
-        F.when(before > 0, ratio(after - before, before, 4)).alias("variacao_pct"),
+        F.when(before > 0, ratio(after - before, before, 4, UNIT)).alias("variacao_pct"),
         INGESTED_AT,
     )
