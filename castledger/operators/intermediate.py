@@ -58,8 +58,9 @@ def int_cmv_mensal(sales: DataFrame, costs: DataFrame) -> DataFrame:
     unit = costs.where(F.col("custo_total_unitario").isNotNull()).groupBy(*key).agg(
         *[F.sum(c).alias(c) for c in components], F.count("*").alias("n_custos"))
 
+    # Both sides have the product-month grain and grow together: never broadcast.
     sold = product_months(sales)
-    costed = sold.join(unit, key, "inner")
+    costed = sold.join(unit.hint("merge"), key, "inner")
 
     def cost_of(component: str, name: str):
         return total(times("qtd_vendida", component)).alias(name)

@@ -91,7 +91,7 @@ def product_margins(sales: DataFrame, costs: DataFrame, products: DataFrame,
         "produto_id", "produto_nome", "linha_producao_nome", "custo_padrao_unitario")
     rows = (
         product_months(sales)
-        .join(unit, ["produto_id", "ano", "mes"], "inner")
+        .join(unit.hint("merge"), ["produto_id", "ano", "mes"], "inner")
         .join(master, "produto_id", "left")
         .select("*", times("qtd_vendida", "custo_unitario_real").alias("cmv_produto"))
         .select("*", (F.col("receita_liquida") - F.col("cmv_produto")).cast(TOTAL)

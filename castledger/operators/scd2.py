@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from castledger.functions.expr import UNIT, month_start, ratio
 from castledger.operators.ordered import with_neighbours
 
 OPEN_END = dt.date(9999, 12, 31)
+# Unrolled versions are narrow (under 100 bytes a row): at most about 20 MB.
+BROADCAST_ROWS = 200_000
 
 
 def scd2_build(events: DataFrame) -> DataFrame:
@@ -34,7 +36,15 @@ def scd2_build(events: DataFrame) -> DataFrame:
     )
 
 
-def _valid_at(facts: DataFrame, day: str, versions: DataFrame, last: Column) -> DataFrame:
+def _sized(side: DataFrame, broadcast_rows: int) -> DataFrame:
+    """Broadcast a counted small side, sort-merge otherwise. Catalyst cannot
+    decide this one itself: it does not see how many rows an explode adds."""
+    small = side.count() <= broadcast_rows
+    return side.hint("broadcast" if small else "merge")
+
+
+def _valid_at(facts: DataFrame, day: str, versions: DataFrame,
+              broadcast_rows: int) -> DataFrame:
     """Left join of facts to the versions ``[_from, _to]`` that cover their day.
 
     Versions are unrolled to the months they touch, so both sides meet on
@@ -44,10 +54,11 @@ def _valid_at(facts: DataFrame, day: str, versions: DataFrame, last: Column) ->
     """
     bounds = facts.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
     first = F.greatest(F.col("_from"), bounds.select("lo").scalar())
-    final = F.least(last, bounds.select("hi").scalar())
+    final = F.least(F.col("_to"), bounds.select("hi").scalar())
     unrolled = versions.where(first <= final).withColumn(
         "_month", F.explode(F.sequence(month_start(first), month_start(final),
                                        F.expr("interval 1 month"))))
+    unrolled = _sized(unrolled, broadcast_rows)
     left = facts.withColumn("_fact_month", month_start(day))
     match = (
         (left["produto_id"] == unrolled["produto_id"])
@@ -59,15 +70,17 @@ def _valid_at(facts: DataFrame, day: str, versions: DataFrame, last: Column) ->
         unrolled["historico_id"], unrolled["_cost"].alias("custo_padrao_vigente"))
 
 
-def lookup_between(facts: DataFrame, day: str, history: DataFrame) -> DataFrame:
+def lookup_between(facts: DataFrame, day: str, history: DataFrame,
+                   broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Cost whose recorded validity covers the day; NULL inside a gap."""
     versions = history.select(
         "produto_id", "historico_id", F.col("custo_padrao_novo").alias("_cost"),
         F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"))
-    return _valid_at(facts, day, versions, F.col("_to"))
+    return _valid_at(facts, day, versions, broadcast_rows)
 
 
-def lookup_asof(facts: DataFrame, day: str, history: DataFrame) -> DataFrame:
+def lookup_asof(facts: DataFrame, day: str, history: DataFrame,
+                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Latest cost that had started by the day, whatever its recorded end.
 
     Of several versions starting on one day the highest id wins. After that
@@ -82,7 +95,7 @@ def lookup_asof(facts: DataFrame, day: str, history: DataFrame) -> DataFrame:
         "produto_id", "v.historico_id", F.col("v.custo_padrao_novo").alias("_cost"),
         F.col("valid_from").alias("_from"),
         F.coalesce(F.date_sub(next_start, 1), F.lit(OPEN_END)).alias("_to"))
-    return _valid_at(facts, day, versions, F.col("_to"))
+    return _valid_at(facts, day, versions, broadcast_rows)
 
 
 def lookup_current(facts: DataFrame, history: DataFrame) -> DataFrame:

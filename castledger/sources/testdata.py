@@ -20,6 +20,11 @@ LOAD_TIME = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)
 BASE_YEAR = 1995
 QUARTERS = 28
 
+_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "part": "p_partkey",
+         "customer": "c_custkey"}
+_SMALL_INPUT = 64 * 1024 * 1024
+_MAX_SPREAD = 64
+
 
 def _d2(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,2)")
@@ -37,8 +42,14 @@ def _line_of(partkey: str) -> Column:
     return F.concat(F.lit("LP0"), (F.col(partkey) % 4 + 1).cast("string"))
 
 
-def _standard_cost() -> Column:
-    return _r2(_d2("p_retailprice") * dec("0.60"))
+def _cents(c: str) -> Column:
+    """A two-digit amount as whole cents (the files hold no finer values)."""
+    return F.round(F.col(c) * 100).cast("bigint")
+
+
+def _standard_cents() -> Column:
+    """60 % of the list price, rounded to cents."""
+    return F.floor((_cents("p_retailprice") * 60 + 50) / 100)
 
 
 class TestData:
@@ -51,7 +62,15 @@ class TestData:
         self.folder = folder.rstrip("/")
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """One table. A small file is a single row group, hence one task; its
+        rows are spread over the cores before anything is computed from them.
+        Larger inputs have enough splits of their own and are left alone."""
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in _KEYS:
+            return df
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        cores = min(self.spark.sparkContext.defaultParallelism, _MAX_SPREAD)
+        return df.repartition(cores, _KEYS[name]) if size < _SMALL_INPUT else df
 
     def raw(self, table: str) -> DataFrame:
         df = getattr(self, table)()
@@ -87,9 +106,9 @@ class TestData:
         if not line_key_only:
             id_parts += [_text("l_partkey"), _text("l_suppkey"), shipped.cast("string")]
         order = F.col("l_orderkey")
-        gross = _d2("l_extendedprice")
-        discount = _r2(gross * F.col("l_discount").cast("decimal(6,4)"))
-        returned = _r2(gross * dec("0.1"))
+        gross = _cents("l_extendedprice")
+        discount = F.floor((gross * _cents("l_discount") + 50) / 100)
+        returned = F.floor((gross + 5) / 10)
         is_returned = F.col("l_returnflag") == "R"
         is_plain = F.col("l_returnflag") == "N"
         return sales.select(
@@ -107,46 +126,51 @@ class TestData:
             F.when(order % 101 == 0, F.lit(0.0)).otherwise(F.col("l_extendedprice"))
             .alias("valor_bruto"),
             F.col("l_discount").alias("desconto_percentual"),
-            discount.cast("double").alias("valor_desconto"),
+            (discount / 100).alias("valor_desconto"),
             F.when(is_returned, F.floor(F.col("l_quantity") / 10).cast("double"))
             .when(is_plain, F.lit(0.0)).alias("devolucao_quantidade"),
-            F.when(is_returned, returned.cast("double")).when(is_plain, F.lit(0.0))
+            F.when(is_returned, returned / 100).when(is_plain, F.lit(0.0))
             .alias("devolucao_valor"),
-            (gross - discount - F.when(is_returned, returned).otherwise(dec("0.00")))
-            .cast("double").alias("valor_liquido"),
+            ((gross - discount - F.when(is_returned, returned).otherwise(F.lit(0))) / 100)
+            .alias("valor_liquido"),
             _line_of("l_partkey").alias("linha_producao_id"),
         )
 
     def raw_custos(self) -> DataFrame:
-        months = self.read("part").where("p_partkey % 17 <> 0").select(
-            "p_partkey", _standard_cost().alias("padrao"),
-            F.explode(self.months()).alias("mes_referencia"))
-        i = (F.year("mes_referencia") - BASE_YEAR) * 12 + F.month("mes_referencia") - 1
-        index = ((F.lit(100) + (i * 7 + (F.col("p_partkey") % 4) * 13) % 36).cast("decimal(10,0)")
-                 * dec("0.01")).cast("decimal(6,4)")
-        labour = (F.when(i % 3 == 0, dec("1.00")).when(i % 3 == 1, dec("1.07"))
-                  .otherwise(dec("1.12")))
-        overhead = (F.lit(1) + dec("0.004") * i.cast("decimal(10,0)")).cast("decimal(10,4)")
-        parts = months.select(
-            "p_partkey", "mes_referencia", "padrao", index.alias("indice"),
-            _r2(F.col("padrao") * dec("0.60") * index).alias("mp"),
-            _r2(F.col("padrao") * dec("0.25") * labour).alias("mod"),
-            _r2(F.col("padrao") * dec("0.15") * overhead).alias("cif"),
-        )
-        no_cost = (F.col("p_partkey") % 19 == 0) & (F.month("mes_referencia") == 1)
-        full = _d2(F.col("mp") + F.col("mod") + F.col("cif"))
-        return parts.select(
-            _text("p_partkey").alias("produto_id"),
-            "mes_referencia",
-            F.col("mp").cast("double").alias("custo_materia_prima"),
-            F.col("mod").cast("double").alias("custo_mao_obra_direta"),
-            F.col("cif").cast("double").alias("custo_indireto_fabricacao"),
-            F.when(no_cost, F.lit(0.0)).otherwise(full.cast("double")).alias("custo_total_unitario"),
-            F.col("padrao").cast("double").alias("custo_padrao_unitario"),
-            F.round((full - F.col("padrao")).cast("decimal(18,2)") / F.col("padrao"), 4)
-            .cast("double").alias("variacao_custo_pct"),
-            F.col("indice").cast("double").alias("indice_commodity"),
-            _line_of("p_partkey").alias("linha_producao_id"),
+        """Active products times months, in whole cents.
+
+        Each product unrolls an array of finished rows, so filters placed on
+        them later see plain columns instead of re-deriving the cost.
+        """
+        part, p = F.col("p_partkey"), F.col("p")
+
+        def month_row(m: Column) -> Column:
+            i = (F.year(m) - BASE_YEAR) * 12 + F.month(m) - 1
+            index = F.lit(100) + (i * 7 + (part % 4) * 13) % 36
+            labour = F.when(i % 3 == 0, 100).when(i % 3 == 1, 107).otherwise(112)
+            return F.struct(
+                m.alias("m"), index.alias("idx"),
+                F.floor((p * 60 * index + 5000) / 10000).alias("mp"),
+                F.floor((p * 25 * labour + 5000) / 10000).alias("mod"),
+                F.floor((p * 15 * (F.lit(1000) + i * 4) + 50000) / 100000).alias("cif"))
+
+        rows = self.read("part").where("p_partkey % 17 <> 0").select(
+            "p_partkey", _standard_cents().alias("p"), self.months().alias("months"),
+        ).select("p_partkey", "p", F.inline(F.transform("months", month_row)))
+        full = "(mp + mod + cif)"
+        return rows.selectExpr(
+            "cast(p_partkey as string) as produto_id",
+            "m as mes_referencia",
+            "mp / 100.0D as custo_materia_prima",
+            "mod / 100.0D as custo_mao_obra_direta",
+            "cif / 100.0D as custo_indireto_fabricacao",
+            f"case when p_partkey % 19 = 0 and month(m) = 1 then 0.0D else {full} / 100.0D end "
+            "as custo_total_unitario",
+            "p / 100.0D as custo_padrao_unitario",
+            f"sign({full} - p) * ((20000 * abs({full} - p) + p) div (2 * p)) / 10000.0D "
+            "as variacao_custo_pct",
+            "idx / 100.0D as indice_commodity",
+            "concat('LP0', cast(p_partkey % 4 + 1 as string)) as linha_producao_id",
         )
 
     def raw_despesas(self) -> DataFrame:
@@ -164,7 +188,7 @@ class TestData:
             .when(rank == "3", "DESPESA_ADMIN").when(rank == "4", "DEPRECIACAO")
             .otherwise("RESULTADO_FINANCEIRO").alias("classificacao_dre"),
             F.when(F.col("o_orderkey") % 89 != 0,
-                   _r2(_d2("o_totalprice") * dec("0.5")).cast("double")).alias("valor"),
+                   F.floor((_cents("o_totalprice") + 1) / 2) / 100).alias("valor"),
         )
 
     # -- planning data ----------------------------------------------------
@@ -201,7 +225,7 @@ class TestData:
         """Quarterly revisions; skipped quarters leave gaps on purpose. At most
         28 rows per product, so the per-product windows are bounded."""
         revisions = self.read("part").where("p_partkey % 17 <> 0").select(
-            "p_partkey", _standard_cost().alias("padrao"),
+            "p_partkey", _standard_cents().alias("padrao"),
             F.explode(F.sequence(F.lit(0), F.lit(QUARTERS - 1))).alias("q"),
         ).where("q = 0 or (p_partkey * 7 + q * 3) % 10 < 6")
         start = F.add_months(F.lit(dt.date(BASE_YEAR, 1, 1)), F.col("q") * 3)
@@ -209,15 +233,14 @@ class TestData:
             (F.col("p_partkey") * 5 + F.col("q") * 7) % 18 - 5)
         priced = revisions.select(
             "p_partkey", "q", start.alias("inicio"),
-            _r2(F.col("padrao") * (F.lit(100) + shift).cast("decimal(10,0)") * dec("0.01"))
-            .alias("novo"))
+            (F.floor((F.col("padrao") * (F.lit(100) + shift) + 50) / 100) / 100).alias("novo"))
         by_product = Window.partitionBy("p_partkey").orderBy("q")
         is_last = F.lead("q").over(by_product).isNull()
         return priced.select(
             F.concat_ws("-", F.lit("HIST"), _text("p_partkey"), _text("q")).alias("historico_id"),
             _text("p_partkey").alias("produto_id"),
-            F.lag("novo").over(by_product).cast("double").alias("custo_padrao_anterior"),
-            F.col("novo").cast("double").alias("custo_padrao_novo"),
+            F.lag("novo").over(by_product).alias("custo_padrao_anterior"),
+            F.col("novo").alias("custo_padrao_novo"),
             F.col("inicio").alias("data_vigencia_inicio"),
             F.when(is_last, F.lit(dt.date(9999, 12, 31)))
             .otherwise(F.date_sub(F.add_months("inicio", 3), 1)).alias("data_vigencia_fim"),
@@ -239,7 +262,7 @@ class TestData:
             line.alias("linha_producao_id"),
             F.lower(line).alias("linha_producao_nome"),
             F.lit(" pç ").alias("unidade_medida"),
-            _standard_cost().cast("double").alias("custo_padrao_unitario"),
+            (_standard_cents() / 100).alias("custo_padrao_unitario"),
             F.when(F.col("p_partkey") % 23 == 0, F.lit(0.0)).otherwise(F.col("p_retailprice"))
             .alias("preco_venda_unitario"),
             F.col("p_size").cast("double").alias("peso_kg"),
