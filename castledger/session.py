@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Call-site capture costs a driver round trip per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

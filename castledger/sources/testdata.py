@@ -20,6 +20,9 @@ LOAD_TIME = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)
 BASE_YEAR = 1995
 QUARTERS = 28
 
+# Discontinued products have neither monthly costs nor cost revisions.
+_IS_ACTIVE = "p_partkey % 17 <> 0"
+
 _KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "part": "p_partkey",
          "customer": "c_custkey"}
 _SMALL_INPUT = 64 * 1024 * 1024
@@ -154,7 +157,7 @@ class TestData:
                 F.floor((p * 25 * labour + 5000) / 10000).alias("mod"),
                 F.floor((p * 15 * (F.lit(1000) + i * 4) + 50000) / 100000).alias("cif"))
 
-        rows = self.read("part").where("p_partkey % 17 <> 0").select(
+        rows = self.read("part").where(_IS_ACTIVE).select(
             "p_partkey", _standard_cents().alias("p"), self.months().alias("months"),
         ).select("p_partkey", "p", F.inline(F.transform("months", month_row)))
         full = "(mp + mod + cif)"
@@ -224,7 +227,7 @@ class TestData:
     def raw_historico_custos(self) -> DataFrame:
         """Quarterly revisions; skipped quarters leave gaps on purpose. At most
         28 rows per product, so the per-product windows are bounded."""
-        revisions = self.read("part").where("p_partkey % 17 <> 0").select(
+        revisions = self.read("part").where(_IS_ACTIVE).select(
             "p_partkey", _standard_cents().alias("padrao"),
             F.explode(F.sequence(F.lit(0), F.lit(QUARTERS - 1))).alias("q"),
         ).where("q = 0 or (p_partkey * 7 + q * 3) % 10 < 6")
@@ -266,7 +269,7 @@ class TestData:
             F.when(F.col("p_partkey") % 23 == 0, F.lit(0.0)).otherwise(F.col("p_retailprice"))
             .alias("preco_venda_unitario"),
             F.col("p_size").cast("double").alias("peso_kg"),
-            F.when(F.col("p_partkey") % 17 == 0, "INATIVO").otherwise("ATIVO").alias("status"),
+            F.when(F.expr(_IS_ACTIVE), "ATIVO").otherwise("INATIVO").alias("status"),
             F.lit(dt.date(1994, 1, 1)).alias("data_cadastro"),
             F.concat(F.lit("7000."), _text("p_size")).alias("ncm"),
         )
