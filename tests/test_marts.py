@@ -1,7 +1,6 @@
 from decimal import Decimal as D
 
 import pytest
-from pyspark.sql import functions as F
 
 from castledger.functions.expr import MONEY
 from castledger.operators import intermediate, marts
