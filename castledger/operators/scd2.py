@@ -53,9 +53,11 @@ def _valid_at(facts: DataFrame, day: str, versions: DataFrame,
     few versions of its own month.
     """
     bounds = facts.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
-    first = F.greatest(F.col("_from"), bounds.select("lo").scalar())
-    final = F.least(F.col("_to"), bounds.select("hi").scalar())
-    unrolled = versions.where(first <= final).withColumn(
+    earliest, latest = bounds.select("lo").scalar(), bounds.select("hi").scalar()
+    first = F.greatest(F.col("_from"), earliest)
+    final = F.least(F.col("_to"), latest)
+    # without facts the bounds are NULL, and open versions must not be unrolled
+    unrolled = versions.where(earliest.isNotNull() & (first <= final)).withColumn(
         "_month", F.explode(F.sequence(month_start(first), month_start(final),
                                        F.expr("interval 1 month"))))
     unrolled = _sized(unrolled, broadcast_rows)

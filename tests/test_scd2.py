@@ -73,6 +73,12 @@ def test_broadcast_only_below_the_counted_limit(facts, history):
     assert "SortMergeJoin" in plan(0) and "Broadcast" not in plan(0)
 
 
+def test_no_facts_unroll_nothing(facts, history):
+    none = facts.where("false")
+    assert scd2.lookup_asof(none, "d", history).count() == 0
+    assert scd2.lookup_between(none, "d", history, 0).count() == 0
+
+
 def test_current_lookup(facts, history):
     got = costs(scd2.lookup_current(facts, history))
     assert got[4] == "12.00" and got[5] == "2.00" and got[7] is None
