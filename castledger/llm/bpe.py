@@ -13,22 +13,19 @@ ignored. An empty table gives an empty result.
 from __future__ import annotations
 
 import base64
-import hashlib
 import heapq
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from castledger.llm.wordvalues import BLOCK_CHARS, per_word
 
 ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 DECODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())),
                      ("bytes", pa.binary())])
-DIGEST = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
-                    ("decoded_sha256", pa.string())])
 #: Words up to this many bytes are merged by plain scans, longer ones with a heap.
 SCAN_BYTES = 48
 
@@ -114,29 +111,18 @@ def decode(encoded: DataFrame, rank_file: str) -> DataFrame:
         token = table.value.__getitem__
         for batch in batches:
             ids = batch.column(1)
-            yield pa.record_batch([
-                batch.column(0), ids,
-                pa.array([None if x is None else b"".join(map(token, x))
-                          for x in ids.to_pylist()], pa.binary())], schema=DECODED)
+            decoded = pa.array((None if x is None else b"".join(map(token, x))
+                                for x in (ids[i].as_py() for i in range(len(ids)))), pa.binary())
+            yield pa.record_batch([batch.column(0), ids, decoded], schema=DECODED)
 
     return encoded.select("doc_id", "ids").mapInArrow(
         run, "doc_id long, ids array<int>, bytes binary")
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def sha(data: bytes) -> str:
-        return hashlib.sha256(data).hexdigest()
-
-    for batch in batches:
-        ids = batch.column(1).to_pylist()
-        yield pa.record_batch([
-            batch.column(0), pa.array([len(x) for x in ids], pa.int64()),
-            pa.array([sha(",".join(map(str, x)).encode()) for x in ids], pa.string()),
-            pa.array([sha(x) for x in batch.column(2).to_pylist()], pa.string())], schema=DIGEST)
-
-
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return decode(encode(docs, path), path).mapInArrow(
-        _digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return decode(encode(docs, path), path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"))

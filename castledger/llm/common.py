@@ -48,29 +48,24 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-Document = tuple[int | None, str]
-
-
 def document_blocks(batches: Iterable[pa.RecordBatch],
-                    chars: int) -> Iterator[tuple[int, list[Document]]]:
-    """Group a task's (doc_id, text) rows into blocks of about ``chars``
+                    chars: int) -> Iterator[tuple[int, int | None, str]]:
+    """(block, doc_id, text) of a task's rows, in blocks of about ``chars``
     characters, a longer text alone. A null text counts as empty.
 
     The block number depends only on the task's partition and the order of its
     rows, so that a repeated scan of the same input gives the same blocks.
     """
-    block, size = [], 0
-    number = TaskContext.get().partitionId() << 32
+    size, number = 0, TaskContext.get().partitionId() << 32
     for batch in batches:
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            text = text or ""
-            if block and size + len(text) > chars:
-                yield number, block
-                block, size, number = [], 0, number + 1
-            block.append((doc, text))
-            size += len(text)
-    if block:
-        yield number, block
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                text = text or ""
+                if size and size + len(text) > chars:
+                    size, number = 0, number + 1
+                size += max(len(text), 1)
+                yield number, doc, text
 
 
 def documents_of(docs: DataFrame) -> DataFrame:

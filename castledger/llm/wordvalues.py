@@ -14,7 +14,10 @@ hot. The input is scanned twice and must give the same rows in the same order
 from __future__ import annotations
 
 import zlib
+from collections import deque
 from collections.abc import Callable, Iterable, Iterator
+from itertools import groupby, islice
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -56,37 +59,39 @@ def _unpack(data: bytes) -> np.ndarray:
 
 
 def _words(pattern: str, chars: int):
+    def rows(block: int, seen: _Numbers) -> Iterator[pa.RecordBatch]:
+        words = iter(seen)
+        for at in range(0, len(seen), 20_000):
+            part = [w.encode() for w in islice(words, 20_000)]
+            yield pa.record_batch([
+                pa.array(np.full(len(part), block)),
+                pa.array(np.arange(at, at + len(part))),
+                pa.array(part, pa.binary())], schema=WORDS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
-        for block, docs in document_blocks(batches, chars):
+        for block, docs in groupby(document_blocks(batches, chars), itemgetter(0)):
             seen = _Numbers()
-            for _, text in docs:
-                for word in find(text):
-                    seen[word]
-            words = [w.encode() for w in seen]
-            for at in range(0, len(words), 50_000):
-                part = words[at:at + 50_000]
-                yield pa.record_batch([
-                    pa.array(np.full(len(part), block)),
-                    pa.array(np.arange(at, at + len(part))),
-                    pa.array(part, pa.binary())], schema=WORDS)
+            for _, _, text in docs:
+                deque(map(seen.__getitem__, find(text)), 0)
+            yield from rows(block, seen)
     return run
 
 
 def _places(pattern: str, chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
-        for block, docs in document_blocks(batches, chars):
+        for block, docs in groupby(document_blocks(batches, chars), itemgetter(0)):
             seen = _Numbers()
-            packed = []
-            for _, text in docs:
+            ids, packed = [], []
+            for _, doc, text in docs:
                 found = find(text)
+                ids.append(doc)
                 packed.append(_pack(np.fromiter(map(seen.__getitem__, found), np.uint32,
                                                 len(found))))
             yield pa.record_batch([
-                pa.array([block] * len(docs), pa.int64()),
-                pa.array([d for d, _ in docs], pa.int64()),
-                pa.array([len(seen)] * len(docs), pa.int64()),
+                pa.array([block] * len(ids), pa.int64()), pa.array(ids, pa.int64()),
+                pa.array([len(seen)] * len(ids), pa.int64()),
                 pa.array(packed, pa.binary())], schema=PLACES)
     return run
 
