@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from castledger.llm.bpe import op10_byte_bpe
+from castledger.llm.decontaminate import OP6_SQL, op6_decontaminate
 from castledger.llm.quality_rules import OP2_SQL, op2_quality_rules
 from castledger.llm.tokencounts import op7_token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op7_token_counts, op10_byte_bpe)}
+    return {f.__name__: f for f in (op2_quality_rules, op6_decontaminate, op7_token_counts, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": OP2_SQL}
+    return {"op2_quality_rules": OP2_SQL, "op6_decontaminate": OP6_SQL}
