@@ -10,11 +10,12 @@ from castledger.llm.bpe import op10_byte_bpe
 from castledger.llm.decontaminate import OP6_SQL, op6_decontaminate
 from castledger.llm.minhash import OP3_SQL, op3_near_duplicates
 from castledger.llm.quality_rules import OP2_SQL, op2_quality_rules
+from castledger.llm.suffix_dedup import op1_suffix_dedup
 from castledger.llm.tokencounts import op7_token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op3_near_duplicates, op6_decontaminate, op7_token_counts, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_near_duplicates, op6_decontaminate, op7_token_counts, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
