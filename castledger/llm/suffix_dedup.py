@@ -348,8 +348,9 @@ def remove_covered(texts: DataFrame, marks: DataFrame, decided: DataFrame, lengt
         piece = np.repeat(np.arange(len(number)), runs)
         at = np.repeat(low - (stops - runs), runs) + np.arange(len(piece))
         begin = run_first[at]
-        end = np.where(np.r_[piece[1:] == piece[:-1], [False] * min(len(piece), 1)],
-                       np.r_[begin[1:], [0] * min(len(begin), 1)], count[piece])
+        end = count[piece]
+        more = np.flatnonzero(piece[1:] == piece[:-1])
+        end[more] = begin[more + 1]
         doc = _ids(ids)[text[piece]]
         goes = (run_least[at] < doc) & (doc != _NO_ID)
         edge = np.zeros(len(block.bytes) + 1, np.int64)
