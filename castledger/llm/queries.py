@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from castledger.llm.bpe import op10_byte_bpe
 from castledger.llm.decontaminate import OP6_SQL, op6_decontaminate
 from castledger.llm.language_id import op5_language_id
+from castledger.llm.licenses import op4_license_scan
 from castledger.llm.minhash import OP3_SQL, op3_near_duplicates
 from castledger.llm.quality_rules import OP2_SQL, op2_quality_rules
 from castledger.llm.suffix_dedup import op1_suffix_dedup
@@ -16,7 +17,8 @@ from castledger.llm.tokencounts import op7_token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_near_duplicates, op5_language_id, op6_decontaminate, op7_token_counts, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_near_duplicates, op4_license_scan,
+                                    op5_language_id, op6_decontaminate, op7_token_counts, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
