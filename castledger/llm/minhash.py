@@ -8,10 +8,11 @@ link), then their full sets are compared. Confirmed links are closed to
 components by alternating large-star and small-star.
 
 Only components are asked for, so a bucket need not be compared pair by pair:
-every member is compared with the bucket's first and then its last member, and
-after that only members that are still in different components are compared with
-each other. A large group of near copies costs a few comparisons per member;
-nothing is capped, and no pair that could join two components is left out.
+every member is compared with the bucket's first and then its last member. Sets
+that still share a bucket with another component are joined exactly, by prefixes
+of their rarest shingles with length and position bounds, so that neither a large
+group of near copies nor one of texts just below the threshold is compared pair
+by pair. Nothing is capped, and no pair that could join two components is left out.
 
 With 32 bands of 4, a pair at the threshold of 0.85 misses all bands with
 probability 6e-11.
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from castledger.llm.common import Tables, documents_of
 from castledger.llm.components import components
@@ -152,6 +153,36 @@ def links_among(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int
     return links
 
 
+def prefix_pairs(open_sets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets with different labels that can reach the similarity:
+    of each set only as many of the rarest members are joined as one of which a
+    similar set must have, and from the first common one on enough must be left."""
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                own = np.frombuffer(batch.column(3)[i].as_py(), np.int64)
+                yield pa.record_batch([
+                    pa.array([batch.column(0)[i].as_py()] * len(own), pa.binary()),
+                    pa.array([batch.column(1)[i].as_py()] * len(own), pa.binary()),
+                    pa.array(np.full(len(own), batch.column(2)[i].as_py())), pa.array(own)],
+                    names=["set_id", "label", "n", "member"])
+
+    rows = open_sets.join(sets, "set_id").select("set_id", "label", "n_shingles", "members").mapInArrow(
+        members, "set_id binary, label binary, n long, member long")
+    ranked = rows.join(rows.groupBy("member").agg(F.count("*").alias("f")), "member").withColumn(
+        "rank", F.row_number().over(Window.partitionBy("set_id").orderBy("f", "member")))
+    # of n members, ceil(percent * n / 100) are in any similar set
+    prefix = ranked.where((100 * (F.col("n") - F.col("rank") + 1) >= percent * F.col("n")) & (F.col("f") > 1))
+    other = prefix.select("member", F.col("set_id").alias("b"), F.col("label").alias("label_b"),
+                          F.col("n").alias("n_b"), F.col("rank").alias("rank_b"))
+    left = 1 + F.least(F.col("n") - F.col("rank"), F.col("n_b") - F.col("rank_b"))
+    return (prefix.withColumnRenamed("set_id", "a").join(other, "member")
+            .where((F.col("a") < F.col("b")) & (F.col("label") != F.col("label_b"))
+                   & (100 * F.col("n") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n"))
+                   & ((100 + percent) * left >= percent * (F.col("n") + F.col("n_b"))))
+            .select("a", "b"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document, for shingles of
     ``size`` words and a Jaccard similarity of at least ``percent`` / 100 (0.8 or
@@ -194,13 +225,9 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
                           .where((F.col("set_id") != F.col(against)) & (F.col("label") != F.col("hub_label")))
                           .select(F.least("set_id", against).alias("a"), F.greatest("set_id", against).alias("b")))
         else:
-            other = open_rows.select("bucket", F.col("set_id").alias("b"), F.col("label").alias("other"),
-                                     F.col("n_shingles").alias("n"))
-            n, m = F.col("n_shingles"), F.col("n")
-            candidates = (open_rows.withColumnRenamed("set_id", "a").join(other, "bucket")
-                          .where((F.col("a") < F.col("b")) & (F.col("label") != F.col("other"))
-                                 & (100 * n >= percent * m) & (100 * m >= percent * n))
-                          .select("a", "b"))
+            open_sets = open_rows.select("set_id", "label", "n_shingles").distinct()
+            wanted = tables.keep(classes.join(open_sets, "set_id", "left_semi").select("set_id", "doc_id"))
+            candidates = prefix_pairs(open_sets, full_sets(docs, wanted, size), percent)
         pairs = candidates.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
