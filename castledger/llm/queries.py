@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from castledger.llm.bpe import op10_byte_bpe
+from castledger.llm.compact_windows import op8_substring_dedup
 from castledger.llm.cotraining import op9_quality_classifier
 from castledger.llm.decontaminate import OP6_SQL, op6_decontaminate
 from castledger.llm.language_id import op5_language_id
@@ -19,7 +20,7 @@ from castledger.llm.tokencounts import op7_token_counts
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_near_duplicates, op4_license_scan,
-                                    op5_language_id, op6_decontaminate, op7_token_counts, op9_quality_classifier,
+                                    op5_language_id, op6_decontaminate, op7_token_counts, op8_substring_dedup, op9_quality_classifier,
                                     op10_byte_bpe)}
 
 
