@@ -119,10 +119,14 @@ def decode(encoded: DataFrame, rank_file: str) -> DataFrame:
         run, "doc_id long, ids array<int>, bytes binary")
 
 
-def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return decode(encode(docs, path), path).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+def digest(decoded: DataFrame, *columns: str) -> DataFrame:
+    """Counts and checksums of ids and decoded bytes, beside ``columns``."""
+    return decoded.select(
+        *columns, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return digest(decode(encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), path), path), "doc_id")

@@ -15,7 +15,7 @@ Null text or metadata is a value of its own. Labels that repeat a doc_id are
 bad if any of them is; a null quality labels nothing unless the row is toxic.
 Without labels of both kinds nothing can be learned and every document gets the
 share of good labels (1 if there is none). Rows are independent: repeated rows
-and null doc_ids get a row each. Extra columns are ignored.
+and null doc_ids get a row each. Extra columns stay.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pyspark.ml.classification import LogisticRegression, LogisticRegressionMode
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from castledger.llm.common import Tables
 
@@ -123,8 +123,8 @@ class _WordWeights(dict):
         return total
 
 
-def view_odds(docs: DataFrame, text: np.ndarray, meta: np.ndarray) -> DataFrame:
-    """(doc_id, text_odds, meta_odds): weighted sums of every document's features.
+def with_odds(docs: DataFrame, text: np.ndarray, meta: np.ndarray) -> DataFrame:
+    """Every document with text_odds and meta_odds, weighted sums of its features.
     The weights have a fixed number of features and are broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast((text, meta))
 
@@ -133,17 +133,19 @@ def view_odds(docs: DataFrame, text: np.ndarray, meta: np.ndarray) -> DataFrame:
         known = _WordWeights(text_weights)
         for batch in batches:
             odds = []
-            for text, source, lang, n_chars in zip(*(batch.column(i) for i in range(1, 5))):
+            for text, source, lang, n_chars in zip(*(batch.column(c) for c in ("text", "source", "lang", "n_chars"))):
                 text = text.as_py() or ""
                 words = WORD.findall(text.lower())
                 distinct = set(words)
                 odds.append((math.fsum(map(known.__getitem__, distinct))
                              + float(text_weights[_shape_buckets(text, words, len(distinct))].sum()),
                              float(meta_weights[meta_buckets(source.as_py(), lang.as_py(), n_chars.as_py())].sum())))
-            yield pa.record_batch([batch.column(0), *(pa.array([o[i] for o in odds], pa.float64()) for i in (0, 1))],
-                                  names=["doc_id", "text_odds", "meta_odds"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *(pa.array([o[i] for o in odds], pa.float64()) for i in (0, 1))],
+                [*batch.schema.names, "text_odds", "meta_odds"])
 
-    return _columns(docs).mapInArrow(run, "doc_id long, text_odds double, meta_odds double")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("text_odds", T.DoubleType()),
+                                              T.StructField("meta_odds", T.DoubleType())]))
 
 
 def good_labels(labels: DataFrame) -> DataFrame:
@@ -196,23 +198,21 @@ class Classifier:
     prior: float  # log-odds of good
 
     def score(self, docs: DataFrame) -> DataFrame:
-        """(doc_id, score, text_score, meta_score, kept) of every document."""
+        """Every document with score, text_score, meta_score, kept; columns of
+        those names are replaced."""
+        added = ("score", "text_score", "meta_score", "kept", "text_odds", "meta_odds")
+        docs = docs.drop(*added)
+        if not self.views:
+            constant = F.lit(round(1 / (1 + math.exp(-self.prior)), 6))
+            return docs.withColumns({c: constant for c in added[:3]}).withColumn("kept", F.lit(True))
+
         def probability(odds: Column) -> Column:
             return F.round(1 / (1 + F.exp(-odds)), 6)
 
-        if not self.views:
-            constant = F.lit(round(1 / (1 + math.exp(-self.prior)), 6))
-            rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"))
-            return rows.select("doc_id", *(constant.alias(c) for c in ("score", "text_score", "meta_score")),
-                               F.lit(True).alias("kept"))
-        text, meta = self.views
-        rows = view_odds(docs, *(v.model.coefficients.toArray() for v in self.views))
-        rows = rows.withColumns({f"{v.name}_odds": v.slope * (F.col(f"{v.name}_odds") + v.model.intercept) + v.offset
-                                 for v in (text, meta)})
-        joint = F.col("text_odds") + F.col("meta_odds") - self.prior
-        return rows.select("doc_id", probability(joint).alias("score"),
-                           probability(F.col("text_odds")).alias("text_score"),
-                           probability(F.col("meta_odds")).alias("meta_score")
+        rows = with_odds(docs, *(v.model.coefficients.toArray() for v in self.views))
+        text, meta = (v.slope * (F.col(f"{v.name}_odds") + v.model.intercept) + v.offset for v in self.views)
+        return rows.select(*docs.columns, probability(text + meta - self.prior).alias("score"),
+                           probability(text).alias("text_score"), probability(meta).alias("meta_score")
                            ).withColumn("kept", F.col("score") >= KEEP_AT)
 
 
@@ -252,4 +252,5 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, pool_r
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).score(docs)
+    return fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).score(docs).select(
+        "doc_id", "score", "text_score", "meta_score", "kept")
