@@ -88,7 +88,7 @@ class Model:
         for bit in self.code.T:
             one, zero = (counts[bit == side].sum(axis=0) + smooth for side in (1, -1))
             weights.append(np.log(one / one.sum()) - np.log(zero / zero.sum()))
-        self.weights = np.array(weights, np.float32).reshape(len(weights), -1).T.copy()
+        self.weights = np.array(weights, np.float32).reshape(len(weights), 1 << BUCKET_BITS).T.copy()
         self.trust = np.ones(self.code.shape)
 
     def margins(self, text: str) -> np.ndarray:
