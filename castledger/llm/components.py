@@ -18,8 +18,7 @@ def _with_least(neighbours: DataFrame) -> DataFrame:
 def large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of u with the least of u and its neighbours."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return (_with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .distinct())
+    return _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def small_star(edges: DataFrame) -> DataFrame:
@@ -29,6 +28,14 @@ def small_star(edges: DataFrame) -> DataFrame:
             .union(joined.select("u", F.col("m").alias("v"))).distinct())
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each u has one edge only and no v is a u."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into")).where(
+        (F.col("out") > 1) | ((F.col("out") > 0) & (F.col("into") > 0))).isEmpty()
+
+
 def components(edges: DataFrame, tables: Tables) -> DataFrame:
     """(vertex, component) of every vertex of the edges (u, v) but the least of
     each component, which names it. Self-loops are ignored, order and repeats of
@@ -36,12 +43,8 @@ def components(edges: DataFrame, tables: Tables) -> DataFrame:
     logarithm of the longest path."""
     current = tables.keep(edges.where("u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    mark = None
-    while True:
+    while not _are_stars(current):
         following = tables.keep(small_star(large_star(current)))
-        seen = following.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         tables.drop(current)
         current = following
-        if seen == mark:
-            return current.select(F.col("u").alias("vertex"), F.col("v").alias("component"))
-        mark = seen
+    return current.select(F.col("u").alias("vertex"), F.col("v").alias("component"))

@@ -205,40 +205,31 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
 
     # rows that repeat a doc_id link their classes
     repeated = known.groupBy("doc_id").agg(F.min("set_id").alias("v"), F.max("set_id").alias("m")).where("v < m")
-    edges = known.join(repeated, "doc_id").select(F.col("set_id").alias("u"), "v")
-    tested = None
-    found = None
-    for against in ("first", "last", None):
-        if found is None:
-            open_rows = buckets.withColumn("label", F.col("set_id"))
-        else:
-            labelled = buckets.join(found.withColumnRenamed("vertex", "set_id"), "set_id", "left").withColumn(
-                "label", F.coalesce("component", "set_id"))
-            undone = (labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-                      .where("x < y").select("bucket"))
-            open_rows = tables.keep(labelled.join(undone, "bucket", "left_semi").drop("component"))
-            if open_rows.isEmpty():
-                break
-        if against:
-            hub = open_rows.select("bucket", F.col("set_id").alias(against), F.col("label").alias("hub_label"))
-            candidates = (open_rows.join(hub, ["bucket", against])
-                          .where((F.col("set_id") != F.col(against)) & (F.col("label") != F.col("hub_label")))
-                          .select(F.least("set_id", against).alias("a"), F.greatest("set_id", against).alias("b")))
-        else:
-            open_sets = open_rows.select("set_id", "label", "n_shingles").distinct()
-            wanted = tables.keep(classes.join(open_sets, "set_id", "left_semi").select("set_id", "doc_id"))
-            candidates = prefix_pairs(open_sets, full_sets(docs, wanted, size), percent)
-        pairs = candidates.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = tables.keep(pairs)
-        tested = pairs if tested is None else tested.union(pairs)
-        links = links_among(pairs, classes, docs, size, percent, tables)
-        edges = edges.union(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        found = components(edges, tables)
-
-    names = classes.join(found.withColumnRenamed("vertex", "set_id"), "set_id", "left").select(
-        "set_id", "doc_id", F.coalesce("component", "set_id").alias("component"))
+    same_id = known.join(repeated, "doc_id").select(F.col("set_id").alias("u"), "v")
+
+    # every member with the first and the last of its bucket
+    with_hubs = buckets.select("set_id", F.explode(F.array("first", "last")).alias("hub")).where("set_id <> hub")
+    pairs = tables.keep(with_hubs.select(F.least("set_id", "hub").alias("a"), F.greatest("set_id", "hub").alias("b")).distinct())
+    found = components(links_among(pairs, classes, docs, size, percent, tables).select(
+        F.col("a").alias("u"), F.col("b").alias("v")).union(same_id), tables)
+
+    # what still shares a bucket with another component
+    def labelled(frame: DataFrame) -> DataFrame:
+        return frame.join(found.withColumnRenamed("vertex", "set_id"), "set_id", "left").withColumn(
+            "label", F.coalesce("component", "set_id")).drop("component")
+
+    members = tables.keep(labelled(buckets.select("set_id", "bucket", "n_shingles")))
+    undone = members.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
+    open_sets = tables.keep(members.join(undone, "bucket", "left_semi").select("set_id", "label", "n_shingles").distinct())
+    wanted = tables.keep(classes.join(open_sets, "set_id", "left_semi").select("set_id", "doc_id"))
+    rest = tables.keep(prefix_pairs(open_sets, full_sets(docs, wanted, size), percent).distinct())
+    links = links_among(rest, classes, docs, size, percent, tables)
+    labels = open_sets.select("set_id", "label")
+    bridges = (links.join(labels.toDF("a", "u"), "a").join(labels.toDF("b", "v"), "b").select("u", "v"))
+    joined = components(bridges, tables).toDF("label", "joined")
+
+    names = labelled(classes.select("set_id", "doc_id")).join(joined, "label", "left").select(
+        "set_id", "doc_id", F.coalesce("joined", "label").alias("component"))
     least = names.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = tables.keep(names.join(least, "component").select("set_id", "component_id"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
