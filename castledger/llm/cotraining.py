@@ -41,7 +41,9 @@ TRAIN_ROWS, POOL_ROWS = 10_000, 5_000
 ROUNDS = 2
 #: A view labels for the other what it gives at least this probability.
 SURE = 0.98
-TEXT_FEATURES, META_FEATURES = 1 << 17, 1 << 10
+TEXT_FEATURES, META_FEATURES = 1 << 16, 1 << 10
+#: Tasks that sum gradients: the samples are bounded, and each task sends as many numbers as there are features.
+FIT_TASKS = 4
 KEEP_AT = 0.6
 #: Lengths of the word beginnings that are features.
 STEMS = (3, 4, 5, 6, 7)
@@ -180,9 +182,9 @@ class View:
 
 def _fit(rows: DataFrame, name: str, weight: float = 5e-4) -> View:
     """Sparse weights: of very many words few tell anything."""
-    regression = LogisticRegression(featuresCol=f"{name}_view", labelCol="good", maxIter=30, regParam=weight,
+    regression = LogisticRegression(featuresCol=f"{name}_view", labelCol="good", maxIter=25, regParam=weight,
                                     elasticNetParam=1.0, standardization=False)
-    return View(name, regression.fit(rows))
+    return View(name, regression.fit(rows.select(f"{name}_view", "good").coalesce(FIT_TASKS)))
 
 
 def _calibrate(view: View, rows: DataFrame) -> View:
