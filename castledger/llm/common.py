@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -37,6 +38,12 @@ class Tables:
         table.kept_at = path
         return table
 
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of finished steps now: it does so
+        when the driver's garbage is collected, which may be long after."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *tables: DataFrame) -> None:
         jvm = self.spark._jvm
         for table in tables:

@@ -75,7 +75,7 @@ def test_components_of_a_path_and_a_loop(spark):
 def test_compact_windows_cover_every_stretch_once():
     rng = np.random.default_rng(3)
     sizes = np.array([30, 3, 25])
-    hashes = rng.integers(0, 12, 58).astype(np.uint64)
+    hashes = rng.integers(0, 12, 58).astype(np.uint64) << np.uint64(20)
     starts = np.array([0, 30, 33])
     first, place, last = compact_windows.compact_windows(hashes, starts, sizes, 5)
     for s, n in zip(starts, sizes):
