@@ -118,3 +118,10 @@ def not_below_zero(c: Column) -> Column:
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
+
+
+def formatted_id(prefix: str, number: Column | str, width: int) -> Column:
+    """``prefix-000123``: a number padded with zeros to ``width`` digits, longer
+    ones in full; NULL for NULL."""
+    number = F.col(number) if isinstance(number, str) else number
+    return F.when(number.isNotNull(), F.format_string(f"{prefix}-%0{width}d", number.cast("bigint")))

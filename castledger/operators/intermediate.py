@@ -11,24 +11,44 @@ from castledger.functions.expr import TOTAL, times, total
 EXPENSE_CLASSES = ("DESPESA_FABRICA", "DESPESA_VENDAS", "DESPESA_ADMIN", "DEPRECIACAO",
                    "RESULTADO_FINANCEIRO")
 OPERATING_CLASSES = EXPENSE_CLASSES[:3]
+OTHER_CLASSES = "OUTRAS"
 
 MONTH = ["ano", "mes"]
 MONTH_LINE = ["ano", "mes", "linha_producao_id"]
 
 
 def int_receita_liquida(sales: DataFrame) -> DataFrame:
-    return sales.groupBy(*MONTH_LINE).agg(
+    """Revenue lines and counts per month and line.
+
+    Three distinct counts in one aggregation would expand every sale to four
+    rows. Here sums and products come from sales folded to products first, and
+    clients and sale ids from narrow distinct lists of their own.
+    """
+    money = ("valor_bruto", "valor_desconto", "devolucao_valor", "quantidade")
+    by_product = sales.groupBy(*MONTH_LINE, "produto_id").agg(*[F.sum(c).alias(c) for c in money])
+    sums = by_product.groupBy(*MONTH_LINE).agg(
         total("valor_bruto").alias("receita_bruta"),
         total("valor_desconto").alias("total_descontos"),
         total("devolucao_valor").alias("total_devolucoes"),
         (F.sum("valor_bruto") - F.sum("valor_desconto") - F.sum("devolucao_valor"))
         .cast(TOTAL).alias("receita_liquida"),
-        F.count_distinct("venda_id").alias("qtd_vendas"),
         F.sum("quantidade").alias("qtd_pecas_vendidas"),
-        F.count_distinct("produto_id").alias("qtd_produtos_vendidos"),
-        F.count_distinct("cliente_id").alias("qtd_clientes"),
+        F.count("produto_id").alias("qtd_produtos_vendidos"),
     )
 
+    def counted(column: str, name: str) -> DataFrame:
+        return sales.select(*MONTH_LINE, column).distinct().groupBy(
+            *[F.col(c).alias(f"_{c}") for c in MONTH_LINE]).agg(F.count(column).alias(name))
+
+    for column, name in (("venda_id", "qtd_vendas"), ("cliente_id", "qtd_clientes")):
+        same = F.lit(True)
+        for c in MONTH_LINE:
+            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        sums = sums.join(counted(column, name), same).drop(*[f"_{c}" for c in MONTH_LINE])
+    return sums.select(
+        *MONTH_LINE, "receita_bruta", "total_descontos", "total_devolucoes", "receita_liquida",
+        "qtd_vendas", "qtd_pecas_vendidas", "qtd_produtos_vendidos", "qtd_clientes")
+
 
 def product_months(sales: DataFrame) -> DataFrame:
     """Sales folded to one row per month, product and line.
@@ -89,7 +109,9 @@ def int_despesas_dre(expenses: DataFrame) -> DataFrame:
 
 
 def expenses_pivot(expenses: DataFrame) -> DataFrame:
-    """The same classes as a pivot; absent classes stay NULL. The value list is
-    fixed, so no extra pass over the data looks for it."""
-    return expenses.groupBy(*MONTH).pivot("classificacao_dre", list(EXPENSE_CLASSES)).agg(
-        total("valor"))
+    """The same classes as a pivot, all others together as OUTRAS; absent classes
+    stay NULL. The value list is fixed, so no extra pass over the data looks for it."""
+    kind = F.col("classificacao_dre")
+    named = F.when(kind.isin(*EXPENSE_CLASSES), kind).otherwise(OTHER_CLASSES)
+    return expenses.withColumn("classe", named).groupBy(*MONTH).pivot(
+        "classe", [*EXPENSE_CLASSES, OTHER_CLASSES]).agg(total("valor"))

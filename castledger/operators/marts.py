@@ -121,12 +121,11 @@ def mart_margem_produto(margins: DataFrame) -> DataFrame:
     """Rank in the month and share of its revenue.
 
     A month holds every product sold in it, which grows with the catalogue, so
-    it is ranked over a distributed sort rather than in one window task.
+    it is ranked in cells of similar margins rather than in one window task.
     """
     ranked = rank_within(
-        margins, group=MONTH,
-        order=[F.desc_nulls_last("margem_bruta"), F.col("produto_id"), F.col("linha_producao_id"),
-               F.col("custo_unitario_real")],
+        margins, group=MONTH, value="margem_bruta",
+        ties=["produto_id", "linha_producao_id", "custo_unitario_real"],
         rank="ranking_margem_mes", group_sums={"_month_revenue": "receita_liquida"})
     return ranked.select(
         *margins.columns, "ranking_margem_mes",

@@ -1,108 +1,46 @@
-"""Ranking and neighbour access over one total order, without per-group tasks.
-
-``row_number``/``lag`` over ``Window.partitionBy(k)`` puts all rows of a key in
-one task. Here the rows are range-partitioned and sorted on the whole order
-instead, so a single key may span any number of tasks; what remains is a small
-table with one row per (sort partition, group), used to stitch the pieces.
-
-The sorted rows are written with a reliable checkpoint: their row numbers must
-not change when an executor is lost and a stage runs again.
-"""
+"""Ranking within groups that may not fit one task."""
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_ID, _PART, _POS = "_row_id", "_sort_part", "_row_pos"
-# monotonically_increasing_id() = partition number * 2^33 + position in it.
-_POSITION_BITS = 33
-
+_CELL, _BEFORE = "_cell", "_rows_before"
+# Cells per doubling of the value: neighbours in a cell differ by about one percent.
+_CELLS_PER_DOUBLING = 64
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's ``spark.checkpoint.dir``; make one only in local mode."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="castledger-checkpoint-")
-    context.setCheckpointDir(folder)
 
+def _cell(value: str) -> Column:
+    """Whole number that never falls as the value rises; NULL for NULL."""
+    size = F.log2(F.abs(F.col(value)).cast("double") + 1) * _CELLS_PER_DOUBLING
+    return F.floor(F.signum(F.col(value).cast("double")) * size)
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
 
-
-def _sorted_rows(df: DataFrame, order: list[Column]) -> DataFrame:
-    """Globally sorted, checkpointed rows with their partition and position."""
-    numbered = checkpointed(df.orderBy(*order).withColumn(_ID, F.monotonically_increasing_id()))
-    return numbered.select(
-        "*",
-        F.shiftright(_ID, _POSITION_BITS).alias(_PART),
-        F.col(_ID).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias(_POS),
-    ).drop(_ID)
-
-
-def rank_within(df: DataFrame, group: list[str], order: list[Column], rank: str,
+def rank_within(df: DataFrame, group: list[str], value: str, ties: list[str], rank: str,
                 group_sums: dict[str, str] | None = None) -> DataFrame:
-    """``row_number()`` per group, plus whole-group sums ``{output: column}``.
-
-    The broadcast side has at most (sort partitions + groups) rows, because
-    groups are contiguous in the order; callers group by calendar month.
+    """``row_number()`` per group, largest ``value`` first, NULL last, ``ties``
+    ascending; plus whole-group sums ``{output: column}``.
+
+    A group is cut into cells of about equal values. Rows are numbered within
+    their cell and moved up by the rows of the cells before it. A row's cell
+    follows from its value alone, so a stage that runs again gives the same
+    numbers. Rows are shuffled once; the sums per cell come from the same
+    exchange. A cell holds equal values and those within one percent.
     """
     sums = group_sums or {}
-    rows = _sorted_rows(df, [F.col(g) for g in group] + order)
-    pieces = rows.groupBy(_PART, *group).agg(
-        F.count("*").alias("_n"), F.min(_POS).alias("_first"),
-        *[F.sum(column).alias(name) for name, column in sums.items()])
+    placed = df.withColumn(_CELL, _cell(value)).repartition(*group, _CELL)
+    cells = placed.groupBy(*group, _CELL).agg(
+        F.count("*").alias("_n"), *[F.sum(column).alias(name) for name, column in sums.items()])
     whole = Window.partitionBy(*group)
-    before = whole.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pieces.select(
-        F.col(_PART).alias("_p"), *[F.col(g).alias(f"_g_{g}") for g in group],
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
-        *[F.sum(name).over(whole).alias(name) for name in sums],
-    )
-    same = F.col(_PART) == F.col("_p")
-    for g in group:
-        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    return rows.join(F.broadcast(offsets), same).select(
-        *df.columns, (F.col(_POS) + F.col("_shift")).alias(rank), *sums)
-
-
-def with_neighbours(df: DataFrame, key: str, order: list[Column],
-                    previous: dict[str, str], following: dict[str, str]) -> DataFrame:
-    """Add ``{output: column}`` of the previous and following row of the same key.
-
-    Within a sort partition this is a plain window; the first and last row of
-    every sort partition (two rows each) are handed across the cuts.
-    """
-    rows = _sorted_rows(df, [F.col(key), *order])
-    taken = F.struct(key, *sorted({*previous.values(), *following.values()}))
-    piece = Window.partitionBy(_PART, key).orderBy(_POS)
-    local = rows.select(
-        "*", F.lag(taken).over(piece).alias("_prev"), F.lead(taken).over(piece).alias("_next"))
-
-    cuts = Window.orderBy(_PART)  # one row per sort partition
-    edges = rows.groupBy(_PART).agg(
-        F.min_by(taken, _POS).alias("_head"), F.max_by(taken, _POS).alias("_tail"),
-    ).select(
-        F.col(_PART).alias("_p"),
-        F.lag("_tail").over(cuts).alias("_before"), F.lead("_head").over(cuts).alias("_after"))
-
-    def across(edge: str) -> Column:
-        return F.when(F.col(f"{edge}.{key}") == F.col(key), F.col(edge))
-
-    joined = local.join(F.broadcast(edges), F.col(_PART) == F.col("_p")).select(
-        *df.columns,
-        F.coalesce("_prev", across("_before")).alias("_prev"),
-        F.coalesce("_next", across("_after")).alias("_next"))
-    return joined.select(
-        *df.columns,
-        *[F.col(f"_prev.{column}").alias(name) for name, column in previous.items()],
-        *[F.col(f"_next.{column}").alias(name) for name, column in following.items()])
+    before = whole.orderBy(F.desc_nulls_last(_CELL)).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cells.select(
+        *[F.col(c).alias(f"_g_{c}") for c in (*group, _CELL)],
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(_BEFORE),
+        *[F.sum(name).over(whole).alias(name) for name in sums])
+    inside = Window.partitionBy(*group, _CELL).orderBy(F.desc_nulls_last(value), *ties)
+    numbered = placed.withColumn("_position", F.row_number().over(inside))
+    same = F.lit(True)
+    for c in (*group, _CELL):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    return numbered.join(offsets, same).select(
+        *df.columns, (F.col("_position") + F.col(_BEFORE)).alias(rank), *sums)

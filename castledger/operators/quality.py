@@ -256,14 +256,16 @@ def net_reconciliation(sales: DataFrame) -> DataFrame:
 
 
 def deduplicate(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """First row per key in a total order.
+    """First row per key in a total order; rows without key are all kept, since
+    nothing says that they are the same.
 
     The minimum of a struct, unlike ``row_number``, is combined on the map side:
     a key with millions of copies reaches its reducer as one row per map task.
     """
     rest = [c for c in df.columns if c != key and c not in order]
     first = F.min(F.struct(*order, *rest)).alias("_first")
-    return df.groupBy(key).agg(first).select(key, "_first.*").select(*df.columns)
+    keyed = df.where(F.col(key).isNotNull()).groupBy(key).agg(first)
+    return keyed.select(key, "_first.*").select(*df.columns).union(df.where(F.col(key).isNull()))
 
 
 def assert_valid(report: DataFrame) -> None:

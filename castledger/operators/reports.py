@@ -9,7 +9,6 @@ from castledger.functions.expr import TOTAL, dec, growth_pct, pct, total
 from castledger.operators.intermediate import MONTH
 from castledger.operators.marts import FinanceParams
 
-PRODUCTION_LINES = ("LP01", "LP02", "LP03", "LP04")
 # The commodity each production line depends on.
 LINE_COMMODITY = {"LP01": "ACO", "LP02": "ALUMINIO", "LP03": "POLIMERO", "LP04": "MISTO"}
 # Income-statement lines in reading order, with their sign.
@@ -68,10 +67,10 @@ def margin_by_line(margins: DataFrame) -> DataFrame:
 
 
 def margin_heatmap(margins: DataFrame) -> DataFrame:
-    """Margin percentage, months down and production lines across."""
-    cells = _with_margin_pct(_margin_totals(margins, *MONTH, "linha_producao_id"))
-    return cells.groupBy(*MONTH).pivot("linha_producao_id", list(PRODUCTION_LINES)).agg(
-        F.first("margem_bruta_pct"))
+    """Margin percentage of each month and production line, one row per cell, so
+    that any line is there."""
+    return _with_margin_pct(_margin_totals(margins, *MONTH, "linha_producao_id")).select(
+        *MONTH, "linha_producao_id", "margem_bruta_pct")
 
 
 def margin_vs_volume(margins: DataFrame) -> DataFrame:
@@ -137,10 +136,11 @@ def annual_summary(statement: DataFrame) -> DataFrame:
         growth_pct(net, before, False).alias("crescimento_receita_pct"))
 
 
-def worst_ebitda_months(statement: DataFrame) -> DataFrame:
+def worst_ebitda_months(statement: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` months of lowest EBITDA margin; the report names no number."""
     return statement.select(
         *MONTH, "receita_liquida", "total_despesas_operacionais", "ebitda", "margem_ebitda_pct",
-    ).orderBy(F.asc_nulls_last("margem_ebitda_pct"), *MONTH).limit(10)
+    ).orderBy(F.asc_nulls_last("margem_ebitda_pct"), *MONTH).limit(n)
 
 
 def seasonality_index(statement: DataFrame) -> DataFrame:

@@ -8,11 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from castledger.functions.expr import UNIT, month_start, ratio
-from castledger.operators.ordered import with_neighbours
 
 OPEN_END = dt.date(9999, 12, 31)
-# Unrolled versions are narrow (under 100 bytes a row): at most about 20 MB.
-BROADCAST_ROWS = 200_000
 
 
 def scd2_build(events: DataFrame) -> DataFrame:
@@ -20,12 +17,18 @@ def scd2_build(events: DataFrame) -> DataFrame:
     custo_padrao_novo, motivo_alteracao)``.
 
     Each version ends the day before the next one starts; the last stays open
-    and is the current one.
+    and is the current one. Of several events of a product on one day only the
+    one with the highest id was ever in force, so it alone becomes a version.
+    That leaves a product at most one version per calendar day, which bounds the
+    window group. Events without product are one group of their own.
     """
-    linked = with_neighbours(
-        events, "produto_id", [F.col("valid_from"), F.col("historico_id")],
-        previous={"custo_padrao_anterior": "custo_padrao_novo"},
-        following={"_next_start": "valid_from"})
+    daily = events.groupBy("produto_id", "valid_from").agg(
+        F.max(F.struct("historico_id", "custo_padrao_novo", "motivo_alteracao")).alias("v")
+    ).select("produto_id", "valid_from", "v.*")
+    product = Window.partitionBy("produto_id").orderBy("valid_from")
+    linked = daily.select(
+        "*", F.lag("custo_padrao_novo").over(product).alias("custo_padrao_anterior"),
+        F.lead("valid_from").over(product).alias("_next_start"))
     before, after = F.col("custo_padrao_anterior"), F.col("custo_padrao_novo")
     return linked.select(
         "historico_id", "produto_id", "custo_padrao_anterior", "custo_padrao_novo", "valid_from",
@@ -36,53 +39,50 @@ def scd2_build(events: DataFrame) -> DataFrame:
     )
 
 
-def _sized(side: DataFrame, broadcast_rows: int) -> DataFrame:
-    """Broadcast a counted small side, sort-merge otherwise. Catalyst cannot
-    decide this one itself: it does not see how many rows an explode adds."""
-    small = side.count() <= broadcast_rows
-    return side.hint("broadcast" if small else "merge")
-
-
 def _valid_at(facts: DataFrame, day: str, versions: DataFrame,
-              broadcast_rows: int) -> DataFrame:
+              until: dt.date | None) -> DataFrame:
     """Left join of facts to the versions ``[_from, _to]`` that cover their day.
 
     Versions are unrolled to the months they touch, so both sides meet on
     (product, month): a plain equi-join that spreads one product over all its
     months, lets skewed partitions be split, and compares a fact only with the
-    few versions of its own month.
+    few versions of its own month. Months outside the history's own range count
+    as its first or last one, on both sides alike; the comparison of days keeps
+    the answer exact. ``until`` moves the upper end, so that facts later than the
+    newest version stay spread over their months.
     """
-    bounds = facts.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
-    earliest, latest = bounds.select("lo").scalar(), bounds.select("hi").scalar()
-    first = F.greatest(F.col("_from"), earliest)
-    final = F.least(F.col("_to"), latest)
-    # without facts the bounds are NULL, and open versions must not be unrolled
-    unrolled = versions.where(earliest.isNotNull() & (first <= final)).withColumn(
-        "_month", F.explode(F.sequence(month_start(first), month_start(final),
-                                       F.expr("interval 1 month"))))
-    unrolled = _sized(unrolled, broadcast_rows)
-    left = facts.withColumn("_fact_month", month_start(day))
+    starts = versions.agg(F.min("_from").alias("lo"), F.max("_from").alias("hi"))
+    earliest = month_start(starts.select("lo").scalar())
+    latest = month_start(F.greatest(starts.select("hi").scalar(), F.lit(until)))
+
+    def within(month):
+        return F.least(F.greatest(month, earliest), latest)
+
+    # an interval that ends before it starts covers no day
+    unrolled = versions.where("_from <= _to").withColumn("_month", F.explode(F.sequence(
+        within(month_start("_from")), within(month_start("_to")), F.expr("interval 1 month")))).hint("merge")
+    unrolled = unrolled.withColumnsRenamed({"produto_id": "_product", "historico_id": "_version"})
     match = (
-        (left["produto_id"] == unrolled["produto_id"])
+        (F.col("produto_id") == F.col("_product"))
         & (F.col("_fact_month") == F.col("_month"))
         & F.col(day).between(F.col("_from"), F.col("_to"))
     )
-    return left.join(unrolled, match, "left").select(
-        *[left[c] for c in facts.columns],
-        unrolled["historico_id"], unrolled["_cost"].alias("custo_padrao_vigente"))
+    joined = facts.withColumn("_fact_month", within(month_start(day))).join(unrolled, match, "left")
+    return joined.select(*facts.columns, F.col("_version").alias("historico_id"),
+                         F.col("_cost").alias("custo_padrao_vigente"))
 
 
 def lookup_between(facts: DataFrame, day: str, history: DataFrame,
-                   broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                   until: dt.date | None = None) -> DataFrame:
     """Cost whose recorded validity covers the day; NULL inside a gap."""
     versions = history.select(
         "produto_id", "historico_id", F.col("custo_padrao_novo").alias("_cost"),
         F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"))
-    return _valid_at(facts, day, versions, broadcast_rows)
+    return _valid_at(facts, day, versions, until)
 
 
 def lookup_asof(facts: DataFrame, day: str, history: DataFrame,
-                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                until: dt.date | None = None) -> DataFrame:
     """Latest cost that had started by the day, whatever its recorded end.
 
     Of several versions starting on one day the highest id wins. After that
@@ -97,7 +97,7 @@ def lookup_asof(facts: DataFrame, day: str, history: DataFrame,
         "produto_id", "v.historico_id", F.col("v.custo_padrao_novo").alias("_cost"),
         F.col("valid_from").alias("_from"),
         F.coalesce(F.date_sub(next_start, 1), F.lit(OPEN_END)).alias("_to"))
-    return _valid_at(facts, day, versions, broadcast_rows)
+    return _valid_at(facts, day, versions, until)
 
 
 def lookup_current(facts: DataFrame, history: DataFrame) -> DataFrame:

@@ -701,7 +701,8 @@ _FINAL: dict[str, str] = {
                                   "variancia_absoluta variancia_pct atingimento_pct"),
     "expenses_pivot": "select ano, mes, " + ", ".join(
         f"cast({_class_sum(c)} as double) as {c}" for c in EXPENSE_CLASSES)
-        + " from stg_despesas group by ano, mes",
+        + f""", cast({total(f"valor) filter (where coalesce(classificacao_dre not in ({_list(EXPENSE_CLASSES)}), true)")}
+          as double) as OUTRAS from stg_despesas group by ano, mes""",
     "bronze_date_coercion": """
       select o_orderkey as pedido_id, cast(o_orderdate as date) as data_pedido,
         case when o_orderkey % 211 = 0 then 'n/d' else strftime(o_orderdate, '%Y-%m-%d') end
@@ -745,6 +746,10 @@ _FINAL: dict[str, str] = {
     "dq_ingested_at": _union(
         f"select '{t.table}' as tabela, count(*) as registros, cast(0 as bigint) as nulos, "
         f"cast(1 as bigint) as cargas from {t.table}" for t in TABLES),
+    "bronze_load_ranges": _union(
+        f"select '{t}' as tabela, min(carga) as primeira_carga, max(carga) as ultima_carga "
+        f"from (select timestamp '2025-01-01 00:00:00' as carga from {t})"
+        for t in quality.LOAD_RANGE_TABLES),
     "dq_net_reconciliation": """
       select ano, mes, count(*) as registros,
         count(*) filter (abs(gap) > 0.01) as divergentes,
@@ -791,10 +796,9 @@ _FINAL: dict[str, str] = {
         "receita_liquida cmv margem_bruta margem_bruta_pct"),
     "margin_by_line": _out(_margin_totals("linha_producao_id"),
                            "receita_liquida cmv margem_bruta margem_bruta_pct"),
-    "margin_heatmap": "select ano, mes, " + ", ".join(
-        f"cast(max(margem_bruta_pct) filter (linha_producao_id = '{line}') as double) as {line}"
-        for line in reports.PRODUCTION_LINES)
-        + f" from {_margin_totals('ano', 'mes', 'linha_producao_id')} group by ano, mes",
+    "margin_heatmap": "select ano, mes, linha_producao_id, "
+        "cast(margem_bruta_pct as double) as margem_bruta_pct "
+        f"from {_margin_totals('ano', 'mes', 'linha_producao_id')}",
     "margin_vs_volume": _out(_margin_totals("produto_id", "linha_producao_id"),
                              "receita_liquida cmv margem_bruta margem_bruta_pct"),
     "product_margin_counts": f"""

@@ -78,3 +78,10 @@ def test_dates(spark):
 def test_company_totals_do_not_overflow(spark):
     df = spark.range(1000).select(F.lit("300000000000000.00").cast(E.MONEY).alias("m"))
     assert df.agg(E.total("m").alias("t")).first().t == D("300000000000000000.00")
+
+
+def test_formatted_ids(spark):
+    from castledger.functions.expr import formatted_id
+    rows = spark.createDataFrame([(7,), (12345678,), (None,)], "n long").select(
+        formatted_id("VND", "n", 7).alias("x"), formatted_id("PROD", "n", 4).alias("y")).collect()
+    assert [tuple(r) for r in rows] == [("VND-0000007", "PROD-0007"), ("VND-12345678", "PROD-12345678"), (None, None)]

@@ -3,7 +3,7 @@ from decimal import Decimal as D
 import pytest
 
 from castledger.functions.expr import MONEY
-from castledger.operators import intermediate, marts
+from castledger.operators import intermediate, marts, reports
 from castledger.operators.marts import FinanceParams
 
 
@@ -190,6 +190,14 @@ def test_expense_pivot_agrees_with_conditional_sums(spark):
     pivot = intermediate.expenses_pivot(spent).first()
     assert all(sums[c.lower()] == pivot[c] for c in intermediate.EXPENSE_CLASSES)
     assert (sums.total_despesas_operacionais, sums.total_despesas) == (6, 114)
+    assert pivot[intermediate.OTHER_CLASSES] == 99
+
+
+def test_heatmap_has_every_line(spark):
+    cells = reports.margin_heatmap(frame(
+        spark, "ano:i mes:i linha_producao_id:s qtd_vendida:i receita_liquida:d cmv_produto:d margem_bruta:d",
+        [(2022, 1, "LP01", 1, 10, 5, 5), (2022, 1, "LP05", 1, 100, 75, 25)])).collect()
+    assert {r.linha_producao_id: int(r.margem_bruta_pct) for r in cells} == {"LP01": 50, "LP05": 25}
 
 
 def test_revenue_counts_distinct_ids(spark):

@@ -36,15 +36,15 @@ def costs(df):
     return {r.id: r.custo_padrao_vigente and str(r.custo_padrao_vigente) for r in rows}
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 10_000])
-def test_interval_lookup_is_null_in_a_gap(facts, history, broadcast_rows):
-    got = costs(scd2.lookup_between(facts, "d", history, broadcast_rows))
+@pytest.mark.parametrize("until", [None, DAY(2024, 1, 1)])
+def test_interval_lookup_is_null_in_a_gap(facts, history, until):
+    got = costs(scd2.lookup_between(facts, "d", history, until))
     assert got == {1: None, 2: "10.00", 3: "12.00", 4: None, 5: "1.00", 6: "2.00", 7: None, 8: None}
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 10_000])
-def test_asof_lookup_bridges_a_gap(facts, history, broadcast_rows):
-    got = costs(scd2.lookup_asof(facts, "d", history, broadcast_rows))
+@pytest.mark.parametrize("until", [None, DAY(2024, 1, 1)])
+def test_asof_lookup_bridges_a_gap(facts, history, until):
+    got = costs(scd2.lookup_asof(facts, "d", history, until))
     assert got == {1: "10.00", 2: "10.00", 3: "12.00", 4: None, 5: "1.00", 6: "2.00",
                    7: None, 8: None}
 
@@ -64,19 +64,30 @@ def test_overlapping_versions_all_match(spark, history):
     assert sorted(r.historico_id for r in found) == ["h2", "h8"]
 
 
-def test_broadcast_only_below_the_counted_limit(facts, history):
-    def plan(limit):
-        df = scd2.lookup_between(facts, "d", history, limit)
-        return df._jdf.queryExecution().executedPlan().toString()
+def test_facts_are_read_once_and_joined_by_a_shuffle(spark, facts, history, tmp_path):
+    facts.write.parquet(f"{tmp_path}/facts")
+    stored = spark.read.parquet(f"{tmp_path}/facts")
+    plan = scd2.lookup_between(stored, "d", history)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.count("SortMergeJoin") == 1
 
-    assert "BroadcastHashJoin" in plan(10_000)
-    assert "SortMergeJoin" in plan(0) and "Broadcast" not in plan(0)
+
+def test_facts_far_outside_the_history(spark, history):
+    far = spark.createDataFrame([(1, "p", DAY(2050, 6, 1)), (2, "q", DAY(1990, 6, 1)), (3, "q", DAY(9000, 1, 1)),
+                                 (4, "p", None)], "id int, produto_id string, d date")
+    for lookup in (scd2.lookup_asof, scd2.lookup_between):
+        assert costs(lookup(far, "d", history)) == {1: "12.00", 2: None, 3: "2.00", 4: None}
+
+
+def test_empty_or_broken_history(spark, facts, history):
+    broken = history.withColumn("valid_to", F.date_sub("valid_from", 3))
+    for versions in (history.where("false"), broken):
+        assert set(costs(scd2.lookup_between(facts, "d", versions)).values()) == {None}
 
 
 def test_no_facts_unroll_nothing(facts, history):
     none = facts.where("false")
     assert scd2.lookup_asof(none, "d", history).count() == 0
-    assert scd2.lookup_between(none, "d", history, 0).count() == 0
+    assert scd2.lookup_between(none, "d", history).count() == 0
 
 
 def test_current_lookup(facts, history):
@@ -95,3 +106,17 @@ def test_build_chains_versions(spark):
     assert (got["h2"].valid_to, got["h2"].is_current) == (OPEN, True)
     assert (got["h2"].custo_padrao_anterior, got["h2"].variacao_pct) == (D("10.00"), D("0.2000"))
     assert got["h1"].custo_padrao_anterior is None and got["h4"].variacao_pct is None
+
+
+def test_build_with_missing_products_and_equal_days(spark):
+    """4,000 events without product over several partitions: one chain, one current
+    version; of events of one day the highest id holds."""
+    days = spark.range(0, 4000, 1, 8).select(
+        F.lpad(F.col("id").cast("string"), 5, "0").alias("historico_id"), F.lit(None).cast("string").alias("produto_id"),
+        F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") % 1000).cast("int")).alias("valid_from"),
+        F.col("id").cast("decimal(18,2)").alias("custo_padrao_novo"), F.lit("m").alias("motivo_alteracao"))
+    got = scd2.scd2_build(days).orderBy("valid_from").collect()
+    assert len(got) == 1000 and [r.historico_id for r in got[:2]] == ["03000", "03001"]
+    assert [r.is_current for r in got] == [False] * 999 + [True]
+    assert all(a.valid_to == b.valid_from - dt.timedelta(days=1) for a, b in zip(got, got[1:]))
+    assert all(r.valid_to >= r.valid_from for r in got)

@@ -72,8 +72,7 @@ def test_deduplication(sales):
         F.min("data_emissao")).first()[0]
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 10**6])
-def test_point_in_time_lookup(spark, sales, broadcast_rows):
+def test_point_in_time_lookup(spark, sales):
     """The hot product also has a new version every day."""
     days = spark.range(365).select(
         F.concat(F.lit("h"), F.lpad(F.col("id").cast("string"), 4, "0")).alias("historico_id"),
@@ -83,10 +82,22 @@ def test_point_in_time_lookup(spark, sales, broadcast_rows):
     ).withColumn("valid_to", F.col("valid_from"))
     facts = sales.select("venda_id", "produto_id", "data_emissao")
     for lookup in (scd2.lookup_asof, scd2.lookup_between):
-        found = lookup(facts, "data_emissao", days, broadcast_rows)
+        found = lookup(facts, "data_emissao", days)
         assert found.count() == facts.count()
         wrong = found.where(
             (F.col("produto_id") == "hot")
             & (F.col("custo_padrao_vigente") != F.dayofyear("data_emissao")))
         missing = found.where("produto_id = 'hot' and custo_padrao_vigente is null")
         assert wrong.count() == 0 and missing.count() == 0
+
+
+def test_rows_without_key_are_not_duplicates(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("a", 4)], "k string, v int")
+    assert sorted(map(tuple, quality.deduplicate(df, "k", ["v"]).collect()), key=repr) == sorted(
+        [(None, 1), (None, 2), ("a", 3)], key=repr)
+
+
+def test_revenue_counts_expand_no_rows(sales):
+    columns = sales.withColumns({c: F.lit(1) for c in ("valor_desconto", "devolucao_valor", "cliente_id")})
+    plan = intermediate.int_receita_liquida(columns)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
