@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from castledger.functions.expr import TOTAL, dec, growth_pct, pct, total
 from castledger.operators.intermediate import MONTH
 from castledger.operators.marts import FinanceParams
+from castledger.operators.scd2 import lookup_asof
 
 # The commodity each production line depends on.
 LINE_COMMODITY = {"LP01": "ACO", "LP02": "ALUMINIO", "LP03": "POLIMERO", "LP04": "MISTO"}
@@ -73,6 +74,20 @@ def margin_heatmap(margins: DataFrame) -> DataFrame:
         *MONTH, "linha_producao_id", "margem_bruta_pct")
 
 
+def margin_vs_history(margins: DataFrame, history: DataFrame) -> DataFrame:
+    """Real unit cost of each product-month against the standard cost that was in
+    force on the month's first day, not today's. Joined on product-months, so
+    sales lines are folded before the history is looked up."""
+    rows = margins.select(
+        *MONTH, "produto_id", "linha_producao_id", "custo_unitario_real",
+        F.make_date(F.col("ano").cast("int"), F.col("mes").cast("int"), F.lit(1)).alias("inicio_mes"))
+    real, standard = F.col("custo_unitario_real"), F.col("custo_padrao_vigente")
+    return lookup_asof(rows, "inicio_mes", history).select(
+        *MONTH, "produto_id", "linha_producao_id", "custo_unitario_real", "historico_id",
+        standard.cast(TOTAL).alias("custo_padrao_vigente"),
+        pct(real - standard, standard).alias("variacao_custo_vs_historico_pct"))
+
+
 def margin_vs_volume(margins: DataFrame) -> DataFrame:
     return _with_margin_pct(_margin_totals(margins, "produto_id", "linha_producao_id"))
 

@@ -799,6 +799,15 @@ _FINAL: dict[str, str] = {
     "margin_heatmap": "select ano, mes, linha_producao_id, "
         "cast(margem_bruta_pct as double) as margem_bruta_pct "
         f"from {_margin_totals('ano', 'mes', 'linha_producao_id')}",
+    "margin_vs_history": _out(
+        f"""(select f.ano, f.mes, f.produto_id, f.linha_producao_id, f.custo_unitario_real,
+          h.historico_id, h.custo_padrao_novo as custo_padrao_vigente,
+          {pct('f.custo_unitario_real - h.custo_padrao_novo', 'h.custo_padrao_novo')}
+            as variacao_custo_vs_historico_pct
+        from (select *, make_date(ano, mes, 1) as dia from product_margins) f
+        asof left join dim_historico_custos h
+          on f.produto_id = h.produto_id and f.dia >= h.valid_from)""",
+        "custo_unitario_real custo_padrao_vigente variacao_custo_vs_historico_pct"),
     "margin_vs_volume": _out(_margin_totals("produto_id", "linha_producao_id"),
                              "receita_liquida cmv margem_bruta margem_bruta_pct"),
     "product_margin_counts": f"""

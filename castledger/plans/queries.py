@@ -150,6 +150,11 @@ def _scd2_build(spark: SparkSession, folder: str) -> DataFrame:
     return scd2.scd2_build(events)
 
 
+def _margin_vs_history(spark: SparkSession, folder: str) -> DataFrame:
+    m = models(spark, folder)
+    return reports.margin_vs_history(m.get("product_margins"), m.get("dim_historico_custos"))
+
+
 # -- planning -------------------------------------------------------------
 
 def _cost_rollup(spark: SparkSession, folder: str) -> DataFrame:
@@ -234,6 +239,7 @@ _QUERIES: dict[str, Query] = {
     "top10_products": _on("product_margins", reports.top10_products),
     "margin_by_line": _on("product_margins", reports.margin_by_line),
     "margin_heatmap": _on("product_margins", reports.margin_heatmap),
+    "margin_vs_history": _margin_vs_history,
     "margin_vs_volume": _on("product_margins", reports.margin_vs_volume),
     "product_margin_counts": _on("product_margins", reports.product_margin_counts),
     "margin_alerts": _on("product_margins", reports.margin_alerts),

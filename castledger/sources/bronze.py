@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -10,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from castledger.sources.registry import INGESTED_AT, TABLES, TableSpec
+from castledger.sources.registry import INGESTED_AT, SPECS, TABLES, TableSpec
 
 PART_MONTH = "_part_month"
 # Name parts that mark a text column as a date.
@@ -31,6 +33,10 @@ class Layers:
             spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
 
 
+class LoadError(RuntimeError):
+    """One or more tables could not be loaded."""
+
+
 def read_raw(spark: SparkSession, folder: str, spec: TableSpec,
              declared: bool = False) -> DataFrame:
     """Scan one raw file. Bronze keeps the stored types; ``declared`` reads with
@@ -88,13 +94,27 @@ def arrange(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 def write_table(spark: SparkSession, df: DataFrame, name: str, description: str,
                 partition_by: str | None = None) -> None:
-    """Replace a table: running the same load twice leaves the same rows."""
-    writer = df.write.mode("overwrite").format("parquet")
+    """Replace a table: running the same load twice leaves the same rows. The new
+    rows go to a folder of their own and the table is pointed at it when they are
+    complete, so a load that fails leaves the old table as it was."""
+    schema, table = name.split(".")
+    folder = f"{spark.catalog.getDatabase(schema).locationUri}/{table}-{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(folder)
+    before = _location(spark, name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=folder, source="parquet", description=description)
     if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.saveAsTable(name)
-    text = description.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"COMMENT ON TABLE {name} IS '{text}'")
+        spark.catalog.recoverPartitions(name)
+    if before:
+        path = spark._jvm.org.apache.hadoop.fs.Path(before)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _location(spark: SparkSession, name: str) -> str | None:
+    if not spark.catalog.tableExists(name):
+        return None
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first().data_type
 
 
 def load_table(spark: SparkSession, folder: str, spec: TableSpec, layers: Layers,
@@ -108,12 +128,18 @@ def load_table(spark: SparkSession, folder: str, spec: TableSpec, layers: Layers
 def ingest(spark: SparkSession, folder: str, layers: Layers = Layers(),
            loaded_at: dt.datetime | None = None,
            tables: Iterable[TableSpec] = TABLES) -> DataFrame:
-    """Load every table, one Spark job each, and report rows and bytes."""
+    """Load every table, one Spark job each and side by side, and report rows and
+    bytes. A table that fails does not stop the others; all failures are raised
+    together at the end."""
     stamp = loaded_at or dt.datetime.now(dt.timezone.utc)
     tables = list(tables)
     layers.create(spark)
-    for spec in tables:
-        load_table(spark, folder, spec, layers, stamp)
+    with ThreadPoolExecutor(max(len(tables), 1)) as pool:
+        loads = {spec.table: pool.submit(load_table, spark, folder, spec, layers, stamp)
+                 for spec in tables}
+    failed = {table: error for table, load in loads.items() if (error := load.exception())}
+    if failed:
+        raise LoadError("; ".join(f"{table}: {error}" for table, error in failed.items()))
     return load_report(spark, layers, tables)
 
 
@@ -132,9 +158,18 @@ def load_report(spark: SparkSession, layers: Layers = Layers(),
     return spark.createDataFrame(rows, "tabela string, registros bigint, bytes bigint")
 
 
-def bronze_source(spark: SparkSession, layers: Layers = Layers()):
-    """Raw tables by name from bronze storage."""
-    return lambda table: spark.table(f"{layers.bronze}.{table}").drop(PART_MONTH)
+def bronze_source(spark: SparkSession, layers: Layers = Layers(),
+                  first: dt.date | None = None, last: dt.date | None = None):
+    """Raw tables by name from bronze storage. With ``first`` and ``last``, only
+    the rows of those days are read from the tables partitioned by month, and
+    only their partitions."""
+    def source(table: str) -> DataFrame:
+        df = spark.table(f"{layers.bronze}.{table}")
+        if PART_MONTH in df.columns and (first or last):
+            df = between_dates(df, SPECS[table].partition, first or dt.date.min, last or dt.date.max)
+        return df.drop(PART_MONTH)
+
+    return source
 
 
 def between_dates(df: DataFrame, column: str, first: dt.date, last: dt.date) -> DataFrame:

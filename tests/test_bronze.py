@@ -162,3 +162,30 @@ def _load(spark, spec, base):
         spark, spec, f"{base}/in/*", f"{base}/out", f"{base}/checkpoint")
     query.awaitTermination(120)
     return incremental.loaded(spark, f"{base}/out")
+
+
+def test_failed_load_leaves_the_old_table(spark, built):
+    before = spark.table("t_bronze.raw_produtos").count()
+    broken = spark.table("t_bronze.raw_produtos").withColumn("produto_id", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        bronze.write_table(spark, broken, "t_bronze.raw_produtos", "d")
+    assert spark.table("t_bronze.raw_produtos").count() == before > 0
+
+
+def test_all_failures_are_reported_and_other_tables_loaded(spark, landing, built, tmp_path):
+    later = CLOCK + dt.timedelta(days=3)
+    missing = [replace(SPECS[t], file="absent") for t in ("raw_custos", "raw_despesas")]
+    with pytest.raises(bronze.LoadError, match="raw_custos.*raw_despesas"):
+        bronze.ingest(spark, landing, LAYERS, later, [*missing, SPECS["raw_clientes"]])
+    stamps = spark.table("t_bronze.raw_clientes").select(INGESTED_AT).distinct().collect()
+    assert [r[0] for r in stamps] == [later.replace(tzinfo=None)]
+
+
+def test_models_read_only_the_months_asked_for(spark, built):
+    source = bronze.bronze_source(spark, LAYERS, dt.date(1996, 3, 1), dt.date(1996, 4, 30))
+    df = source("raw_vendas")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert PART_MONTH in plan[plan.index("PartitionFilters"):].split("]")[0] and PART_MONTH not in df.columns
+    months = {r[0] for r in df.select(F.date_format("data_emissao", "yyyy-MM")).distinct().collect()}
+    assert months == {"1996-03", "1996-04"}
+    assert source("raw_produtos").count() == spark.table("t_bronze.raw_produtos").count()
