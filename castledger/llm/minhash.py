@@ -8,7 +8,7 @@ link), then their full sets are compared. Confirmed links are closed to
 components by alternating large-star and small-star.
 
 Only components are asked for, so a bucket need not be compared pair by pair:
-every member is compared with the bucket's first and then its last member. Sets
+every set is compared with the one that is first or last in most of its buckets. Sets
 that still share a bucket with another component are joined exactly, by prefixes
 of their rarest shingles with length and position bounds, so that neither a large
 group of near copies nor one of texts just below the threshold is compared pair
@@ -168,7 +168,7 @@ def prefix_pairs(open_sets: DataFrame, sets: DataFrame, percent: int) -> DataFra
                     names=["set_id", "label", "n", "member"])
 
     rows = open_sets.join(sets, "set_id").select("set_id", "label", "n_shingles", "members").mapInArrow(
-        members, "set_id binary, label binary, n long, member long")
+        members, "set_id binary, label binary, n long, member long").repartition("member")
     ranked = rows.join(rows.groupBy("member").agg(F.count("*").alias("f")), "member").withColumn(
         "rank", F.row_number().over(Window.partitionBy("set_id").orderBy("f", "member")))
     # of n members, ceil(percent * n / 100) are in any similar set
@@ -207,9 +207,11 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     repeated = known.groupBy("doc_id").agg(F.min("set_id").alias("v"), F.max("set_id").alias("m")).where("v < m")
     same_id = known.join(repeated, "doc_id").select(F.col("set_id").alias("u"), "v")
 
-    # every member with the first and the last of its bucket
-    with_hubs = buckets.select("set_id", F.explode(F.array("first", "last")).alias("hub")).where("set_id <> hub")
-    pairs = tables.keep(with_hubs.select(F.least("set_id", "hub").alias("a"), F.greatest("set_id", "hub").alias("b")).distinct())
+    # every set with the one that is first or last in most of its buckets
+    hubs = (buckets.select("set_id", F.explode(F.array("first", "last")).alias("hub")).where("set_id <> hub")
+            .groupBy("set_id", "hub").agg(F.count("*").alias("shared"))
+            .groupBy("set_id").agg(F.max(F.struct("shared", "hub")).alias("best")))
+    pairs = tables.keep(hubs.select(F.least("set_id", "best.hub").alias("a"), F.greatest("set_id", "best.hub").alias("b")).distinct())
     found = components(links_among(pairs, classes, docs, size, percent, tables).select(
         F.col("a").alias("u"), F.col("b").alias("v")).union(same_id), tables)
 
