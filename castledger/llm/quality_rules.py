@@ -24,7 +24,7 @@ SPACES = " \t\n\x0b\f\r"
 SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS, MAX_REPEATED_PCT, WINDOW = 50, 50, 3
 #: Texts on which costs and selectivities are estimated.
-SAMPLE_ROWS = 500
+SAMPLE_ROWS, SAMPLE_CHARS = 500, 100_000
 
 
 @dataclass(frozen=True)
@@ -109,10 +109,14 @@ def default_rules() -> list[Rule]:
     ]
 
 
-def order_rules(measured: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Most rejections per second first, both measured on ``sample_rows`` texts
-    from the first partitions. Equal ones stay in the given order."""
-    sample = measured.limit(sample_rows).cache()
+def order_rules(docs: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
+    """Most rejections per second first, both measured on the first ``sample_rows``
+    texts of up to ``SAMPLE_CHARS`` characters, for which Spark reads as few
+    partitions as it can. Equal ones stay in the given order."""
+    texts = documents_of(docs)
+    short = F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS
+    sample = with_measures(docs.sparkSession.createDataFrame(
+        texts.where(short).take(sample_rows), texts.schema)).cache()
     rows = sample.count()
 
     def cost_and_share(rule: Rule) -> tuple[float, float]:
@@ -145,7 +149,7 @@ def quality_rules(docs: DataFrame, rules: list[Rule] | None = None,
     """Measures, ``base_failed``, ``rejected_by`` (first rule of the cascade) and
     ``kept`` of every document."""
     measured = with_measures(docs)
-    ordered = order_rules(measured, rules if rules is not None else default_rules(), sample_rows)
+    ordered = order_rules(docs, rules if rules is not None else default_rules(), sample_rows)
     return (measured.withColumn("base_failed", base_failed())
             .withColumn("rejected_by", F.when(F.col("base_failed"), F.lit("base"))
                         .otherwise(cascade(ordered)))
