@@ -202,6 +202,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     shared = (banded.groupBy("bucket").agg(F.min("set_id").alias("first"), F.max("set_id").alias("last"))
               .where("first < last"))
     buckets = tables.keep(banded.join(shared, "bucket"))
+    tables.release()
 
     # rows that repeat a doc_id link their classes
     repeated = known.groupBy("doc_id").agg(F.min("set_id").alias("v"), F.max("set_id").alias("m")).where("v < m")
@@ -214,6 +215,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     pairs = tables.keep(hubs.select(F.least("set_id", "best.hub").alias("a"), F.greatest("set_id", "best.hub").alias("b")).distinct())
     found = components(links_among(pairs, classes, docs, size, percent, tables).select(
         F.col("a").alias("u"), F.col("b").alias("v")).union(same_id), tables)
+    tables.release()
 
     # what still shares a bucket with another component
     def labelled(frame: DataFrame) -> DataFrame:
@@ -234,6 +236,8 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
         "set_id", "doc_id", F.coalesce("joined", "label").alias("component"))
     least = names.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = tables.keep(names.join(least, "component").select("set_id", "component_id"))
+    tables.drop(classes, buckets, pairs, members, open_sets, wanted, rest)
+    tables.release()
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return (signed.drop("minima").join(named, "set_id", "left")
             .select("doc_id", "n_shingles", component.alias("component_id"))
