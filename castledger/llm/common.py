@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -41,8 +42,10 @@ class Tables:
     def release(self) -> None:
         """Let Spark delete the shuffle files of finished steps now: it does so
         when the driver's garbage is collected, which may be long after."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+        for _ in range(2):  # what the first round frees may hold more
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.3)
 
     def drop(self, *tables: DataFrame) -> None:
         jvm = self.spark._jvm
