@@ -8,7 +8,7 @@ link), then their full sets are compared. Confirmed links are closed to
 components by alternating large-star and small-star.
 
 Only components are asked for, so a bucket need not be compared pair by pair:
-every set is compared with the one that is first or last in most of its buckets. Sets
+every set is compared with up to ``HUBS`` that are first or last in its buckets. Sets
 that still share a bucket with another component are joined exactly, by prefixes
 of their rarest shingles with length and position bounds, so that neither a large
 group of near copies nor one of texts just below the threshold is compared pair
@@ -41,6 +41,8 @@ BANDS, ROWS = 32, 4
 #: deviations below the mean of a pair at 0.85.
 LEAST_AGREEING = 80
 FILTER_BITS = 25
+#: Hubs a set is compared with before the exact join of the rest.
+HUBS = 16
 
 SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()),
                     ("minima", pa.binary())])
@@ -208,11 +210,12 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     repeated = known.groupBy("doc_id").agg(F.min("set_id").alias("v"), F.max("set_id").alias("m")).where("v < m")
     same_id = known.join(repeated, "doc_id").select(F.col("set_id").alias("u"), "v")
 
-    # every set with the one that is first or last in most of its buckets
+    # every set with those that are first or last in most of its buckets; it has 2 * BANDS at most
     hubs = (buckets.select("set_id", F.explode(F.array("first", "last")).alias("hub")).where("set_id <> hub")
             .groupBy("set_id", "hub").agg(F.count("*").alias("shared"))
-            .groupBy("set_id").agg(F.max(F.struct("shared", "hub")).alias("best")))
-    pairs = tables.keep(hubs.select(F.least("set_id", "best.hub").alias("a"), F.greatest("set_id", "best.hub").alias("b")).distinct())
+            .withColumn("place", F.row_number().over(Window.partitionBy("set_id").orderBy(F.desc("shared"), "hub")))
+            .where(F.col("place") <= HUBS))
+    pairs = tables.keep(hubs.select(F.least("set_id", "hub").alias("a"), F.greatest("set_id", "hub").alias("b")).distinct())
     found = components(links_among(pairs, classes, docs, size, percent, tables).select(
         F.col("a").alias("u"), F.col("b").alias("v")).union(same_id), tables)
     tables.release()
