@@ -42,7 +42,7 @@ BANDS, ROWS = 32, 4
 LEAST_AGREEING = 80
 FILTER_BITS = 25
 #: Hubs a set is compared with before the exact join of the rest.
-HUBS = 16
+HUBS = 6
 
 SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()),
                     ("minima", pa.binary())])
