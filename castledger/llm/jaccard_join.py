@@ -50,7 +50,7 @@ BLOCK_CHARS = 12_000_000
 #: Bits of a shingle's key while occurrences are counted.
 KEY_BITS = 48
 #: Rounds in which a list's groups meet one group of its largest component.
-ROUNDS = 2
+ROUNDS = 4
 #: Pairs with the same set that one task compares.
 PER_SALT = 2_000
 
@@ -184,26 +184,29 @@ def _least_overlap(n: Column, percent: int) -> Column:
 
 
 def prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(set_id, n, skipped, prefix) of the sets that can link: the shingles of the
-    prefix that others have too, rarest first, after ``skipped`` that none has."""
+    """(set_id, n, skipped, weight, prefix) of the sets that can link: the shingles of
+    the prefix that others have too, rarest first, after ``skipped`` that none has;
+    ``weight`` is how many sets have one of its shingles, on average."""
     rows = sets.select("set_id", F.size("members").alias("n"), F.explode("members").alias("member")).repartition("member")
     common = rows.groupBy("member").agg(F.count("*").alias("f")).where("f > 1")
     ordered = (rows.join(common, "member").groupBy("set_id", "n")
                .agg(F.sort_array(F.collect_list(F.struct("f", "member"))).alias("common")))  # of one text, no more
     least, skipped = _least_overlap(F.col("n"), percent), F.col("n") - F.size("common")
+    weight = F.aggregate("common.f", F.lit(0).cast("long"), lambda x, f: x + f) / F.col("n")
     return ordered.where(F.size("common") >= least).select(
-        "set_id", "n", skipped.alias("skipped"),
+        "set_id", "n", skipped.alias("skipped"), weight.alias("weight"),
         F.slice("common.member", F.lit(1), (F.col("n") - least + 1 - skipped).cast("int")).alias("prefix"))
 
 
 def grouped(prefixed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Groups (group, n, skipped, prefix) and their members (set_id, group). A set
+    """Groups (group, n, skipped, weight, prefix) and their members (set_id, group). A set
     with shingles of its own in the prefix has no other of the same prefix."""
     alone = F.when(F.col("skipped") > 0, F.col("set_id"))
     keyed = prefixed.withColumn("key", F.sha2(F.concat(
         F.coalesce(F.hex(alone), F.lit("")), F.lit(":"), F.col("n").cast("string"), F.lit(":"),
         F.array_join(F.col("prefix").cast("array<string>"), ",")), 256))
-    groups = keyed.groupBy("key").agg(F.min("set_id").alias("group"), *(F.first(c).alias(c) for c in ("n", "skipped", "prefix")))
+    groups = keyed.groupBy("key").agg(F.min("set_id").alias("group"), F.max("weight").alias("weight"),
+                                      *(F.first(c).alias(c) for c in ("n", "skipped", "prefix")))
     members = keyed.select("key", "set_id").join(groups.select("key", "group"), "key").select("set_id", "group")
     return groups.drop("key"), members
 
@@ -234,6 +237,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _relabelled(labels: DataFrame, links: DataFrame, tables: Tables) -> DataFrame:
     """(set_id, label) after the components of linked sets have been joined."""
+    links = tables.keep(links)
+    if links.isEmpty():
+        return labels
     ends = (links.join(labels.toDF("a", "u"), "a").join(labels.toDF("b", "v"), "b").select("u", "v"))
     joined = components(ends, tables).toDF("label", "joined")
     return tables.keep(labels.join(joined, "label", "left").select("set_id", F.coalesce("joined", "label").alias("label")))
@@ -243,7 +249,7 @@ def _entries(groups: DataFrame, members: DataFrame, labels: DataFrame) -> DataFr
     """Lists: each shingle's groups, one entry for each label among their members."""
     units = members.join(labels, "set_id").groupBy("group", "label").agg(F.min("set_id").alias("first"), F.count("*").alias("size"))
     return units.join(groups, "group").select(
-        "group", "label", "first", "size", "n", F.posexplode("prefix").alias("at", "token"), "skipped").withColumn(
+        "group", "label", "first", "size", "weight", "n", F.posexplode("prefix").alias("at", "token"), "skipped").withColumn(
         "rank", F.col("skipped") + F.col("at") + 1).drop("at", "skipped")
 
 
@@ -254,16 +260,19 @@ def _within(n_a, rank_a, n_b, rank_b, percent: int) -> Column:
             & ((100 + percent) * left >= percent * (n_a + n_b)))
 
 
-def hub_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of a list's groups with the first group of the label that most
-    sets of the list have. Found by aggregations that combine map-side."""
+def hub_pairs(entries: DataFrame, step: int, compared: DataFrame | None) -> DataFrame:
+    """Pairs (a, b), not ``compared`` yet, of a list's groups with one group of the
+    label that most sets of the list have: at first the one whose shingles are most
+    frequent, the middle of a family, in later rounds any other. Found by
+    aggregations that combine map-side. Bounds are left to the complete join: what
+    a pair lacks for one list's bound it may have over all."""
+    order = F.col("weight") if step < 2 else F.xxhash64("first", F.lit(step)).cast("double")
     sizes = entries.groupBy("token", "label").agg(
-        F.sum("size").alias("size"), F.min(F.struct("first", "n", "rank")).alias("hub"))
+        F.sum("size").alias("size"), F.max(F.struct(order.alias("o"), "first")).alias("hub"))
     hubs = (sizes.groupBy("token").agg(F.max(F.struct("size", "label", "hub")).alias("best"), F.count("*").alias("labels"))
-            .where("labels > 1").select("token", F.col("best.label").alias("hub_label"), "best.hub"))
-    return (entries.join(hubs, "token").where(F.col("label") != F.col("hub_label"))
-            .where(_within(F.col("n"), F.col("rank"), F.col("hub.n"), F.col("hub.rank"), percent))
-            .select(F.col("first").alias("a"), F.col("hub.first").alias("b")).distinct())
+            .where("labels > 1").select("token", F.col("best.label").alias("hub_label"), F.col("best.hub.first").alias("b")))
+    pairs = entries.join(hubs, "token").where("label <> hub_label").select(F.col("first").alias("a"), "b").distinct()
+    return pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti")
 
 
 def group_pairs(entries: DataFrame, percent: int) -> DataFrame:
@@ -327,9 +336,11 @@ def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 80, block_chars:
     labels = tables.keep(members.select("set_id", F.col("set_id").alias("label")))
     pairs = tables.keep(members.where("set_id <> group").select(F.col("set_id").alias("a"), F.col("group").alias("b")))
     labels = _relabelled(labels, verified(pairs, sets, percent), tables)
-    for _ in range(ROUNDS):
-        pairs = tables.keep(hub_pairs(_entries(groups, members, labels), percent))
+    compared = None
+    for step in range(ROUNDS):
+        pairs = tables.keep(hub_pairs(_entries(groups, members, labels), step, compared))
         labels = _relabelled(labels, verified(pairs, sets, percent), tables)
+        compared = pairs if compared is None else compared.union(pairs)
     pairs = tables.keep(expanded(group_pairs(_entries(groups, members, labels), percent), members, labels))
     labels = _relabelled(labels, verified(pairs, sets, percent), tables)
 
