@@ -12,6 +12,7 @@ from castledger.llm.cotraining import op9_quality_classifier
 from castledger.llm.decontaminate import OP6_SQL, op6_decontaminate
 from castledger.llm.jaccard_join import OP12_SQL, op12_jaccard_join
 from castledger.llm.language_id import op5_language_id
+from castledger.llm.lexical_search import OP11_SQL, op11_lexical_search
 from castledger.llm.licenses import op4_license_scan
 from castledger.llm.minhash import OP3_SQL, op3_near_duplicates
 from castledger.llm.quality_rules import OP2_SQL, op2_quality_rules
@@ -23,9 +24,9 @@ from castledger.llm.whitening import op13_embedding_whitening
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_near_duplicates, op4_license_scan,
                                     op5_language_id, op6_decontaminate, op7_token_counts, op8_substring_dedup, op9_quality_classifier,
-                                    op10_byte_bpe, op12_jaccard_join, op13_embedding_whitening)}
+                                    op10_byte_bpe, op11_lexical_search, op12_jaccard_join, op13_embedding_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_quality_rules": OP2_SQL, "op3_near_duplicates": OP3_SQL,
-            "op6_decontaminate": OP6_SQL, "op12_jaccard_join": OP12_SQL}
+            "op6_decontaminate": OP6_SQL, "op11_lexical_search": OP11_SQL, "op12_jaccard_join": OP12_SQL}
