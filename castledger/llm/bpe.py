@@ -15,17 +15,21 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from castledger.llm.wordvalues import BLOCK_CHARS, per_word
+from castledger.llm.wordvalues import BLOCK_CHARS, _spread, per_word
 
 ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 DECODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())),
                      ("bytes", pa.binary())])
+#: Ids whose bytes are gathered at a time.
+PIECE = 500_000
 #: Words up to this many bytes are merged by plain scans, longer ones with a heap.
 SCAN_BYTES = 48
 
@@ -94,26 +98,58 @@ def encode(docs: DataFrame, rank_file: str, pattern: str = public_tokenizers.PAT
             yield np.array(encode_word(word, table), np.uint32)
 
     def shape(doc_ids, values):
-        return pa.table([doc_ids, pa.array(list(values), pa.list_(pa.int32()))], schema=ENCODED)
+        parts = list(values)
+        edges = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+        flat = np.concatenate(parts or [np.empty(0, np.int32)])
+        return pa.table([doc_ids, pa.ListArray.from_arrays(pa.array(edges), pa.array(flat, pa.int32()))], schema=ENCODED)
 
     return per_word(docs, pattern, valuer, shape, "doc_id long, ids array<int>",
                     block_chars=block_chars)
 
 
+@dataclass(frozen=True)
+class TokenBytes:
+    """The token-byte table: all tokens' bytes side by side, by id."""
+
+    flat: np.ndarray
+    starts: np.ndarray
+    lengths: np.ndarray  # -1: no such id
+
+    @staticmethod
+    def of(ranks: dict[bytes, int]) -> TokenBytes:
+        lengths = np.full(max(ranks.values(), default=-1) + 1, -1, np.int64)
+        ordered = sorted(ranks, key=ranks.__getitem__)
+        lengths[[ranks[t] for t in ordered]] = [len(t) for t in ordered]
+        held = np.maximum(lengths, 0)
+        return TokenBytes(np.frombuffer(b"".join(ordered), np.uint8), np.cumsum(held) - held, lengths)
+
+    def decoded(self, ids: pa.ListArray) -> pa.Array:
+        """Bytes of each list of ids; pieces of the whole batch are gathered at a time."""
+        edges = ids.offsets.to_numpy()
+        flat = ids.values.to_numpy(zero_copy_only=False)[edges[0]:edges[-1]]
+        if len(flat) and (flat.min() < 0 or flat.max() >= len(self.lengths) or self.lengths[flat].min() < 0):
+            raise KeyError("an id is not in the vocabulary")
+        ends = np.concatenate([[0], np.cumsum(self.lengths[flat])])
+        pieces = [flat[i:i + PIECE] for i in range(0, len(flat), PIECE)]
+        data = np.concatenate([self.flat[_spread(self.starts[p], self.lengths[p])] for p in pieces] or [self.flat[:0]])
+        offsets = ends[edges - edges[0]]
+        whole = pa.Array.from_buffers(pa.large_binary(), len(ids), [
+            None, pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())])
+        return pc.if_else(ids.is_valid(), whole, None).cast(pa.binary())
+
+
 def decode(encoded: DataFrame, rank_file: str) -> DataFrame:
     """(doc_id, ids, bytes): ids joined with the token-byte table, in order. The
     table has the vocabulary's size and is broadcast. Null ids give null bytes,
     an unknown id raises."""
-    table = encoded.sparkSession.sparkContext.broadcast(
-        {i: token for token, i in read_ranks(rank_file).items()})
+    table = encoded.sparkSession.sparkContext.broadcast(TokenBytes.of(read_ranks(rank_file)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = table.value.__getitem__
+        tokens = table.value
         for batch in batches:
-            ids = batch.column(1)
-            decoded = pa.array((None if x is None else b"".join(map(token, x))
-                                for x in (ids[i].as_py() for i in range(len(ids)))), pa.binary())
-            yield pa.record_batch([batch.column(0), ids, decoded], schema=DECODED)
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                yield pa.record_batch([part.column(0), part.column(1), tokens.decoded(part.column(1))], schema=DECODED)
 
     return encoded.select("doc_id", "ids").mapInArrow(
         run, "doc_id long, ids array<int>, bytes binary")
