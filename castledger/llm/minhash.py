@@ -7,12 +7,12 @@ pairs pass a signature check (far below the threshold, so that it costs no
 link), then their full sets are compared. Confirmed links are closed to
 components by alternating large-star and small-star.
 
-Only components are asked for, so a bucket need not be compared pair by pair:
-every set is compared with up to ``HUBS`` that are first or last in its buckets. Sets
-that still share a bucket with another component are joined exactly, by prefixes
-of their rarest shingles with length and position bounds, so that neither a large
-group of near copies nor one of texts just below the threshold is compared pair
-by pair. Nothing is capped, and no pair that could join two components is left out.
+Only components are asked for, so a bucket need not be compared pair by pair. A
+set is first compared with one that is first in most of its buckets. Sets that
+still share a bucket with another component are then joined exactly, by prefixes
+of their rarest shingles (``prefix_groups``), so that neither a large group of near
+copies nor one of texts just below the threshold is compared pair by pair. Nothing
+is capped, and no pair that could join two components is left out.
 
 With 32 bands of 4, a pair at the threshold of 0.85 misses all bands with
 probability 6e-11.
@@ -24,41 +24,24 @@ component and are kept. Extra columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from castledger.llm import prefix_groups
 from castledger.llm.common import Tables, documents_of
-from castledger.llm.components import components
-from castledger.llm.decontaminate import bit_filter, may_have
-from castledger.llm.textwords import WordHashes, shingles, space_words
+from castledger.llm.textwords import WordHashes
+from castledger.llm.wordsets import full_sets, set_id, shingle_set
 
 BANDS, ROWS = 32, 4
 #: Agreeing minima that a pair needs to be compared in full: 7 standard
 #: deviations below the mean of a pair at 0.85.
 LEAST_AGREEING = 80
-FILTER_BITS = 25
-#: Hubs a set is compared with before the exact join of the rest.
-HUBS = 6
 
 SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()),
                     ("minima", pa.binary())])
-SETS = pa.schema([("set_id", pa.binary()), ("members", pa.binary())])
-
-
-def shingle_set(text: str | None, hashes: WordHashes, size: int) -> np.ndarray:
-    """Sorted hashes of the distinct shingles; fewer words are one shingle."""
-    words = space_words(text)
-    if not words:
-        return np.empty(0, np.uint64)
-    return np.unique(shingles(hashes.of(words), min(size, len(words))))
-
-
-def set_id(members: np.ndarray) -> bytes:
-    return hashlib.blake2b(members.tobytes(), digest_size=16).digest()
 
 
 def multipliers(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -93,29 +76,6 @@ def sign(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, minima binary")
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(set_id, members) of the wanted (set_id, doc_id). A bit filter of fixed size
-    keeps other documents' sets from leaving Python; the join makes it exact."""
-    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(
-        wanted.select(F.xxhash64("doc_id").alias("h")), "h", FILTER_BITS))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            passed = may_have(bits.value, batch.column(2).to_numpy().view(np.uint64))
-            for i in np.flatnonzero(passed).tolist():
-                members = shingle_set(batch.column(1)[i].as_py(), hashes, size)
-                yield pa.record_batch([
-                    pa.array([batch.column(0)[i].as_py()], pa.int64()),
-                    pa.array([set_id(members)], pa.binary()),
-                    pa.array([members.tobytes()], pa.binary())], names=["doc_id", "set_id", "members"])
-
-    return (docs.withColumn("h", F.xxhash64("doc_id"))
-            .mapInArrow(run, "doc_id long, set_id binary, members binary")
-            .join(wanted, ["doc_id", "set_id"], "left_semi")
-            .dropDuplicates(["set_id"]).select("set_id", "members"))
-
-
 def _compared(with_both: DataFrame, first: str, second: str, agree) -> DataFrame:
     """Pairs (a, b) for which ``agree`` holds on two binary columns."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,8 +93,7 @@ def _with_values(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b")
 
 
-def links_among(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
-                percent: int, tables: Tables) -> DataFrame:
+def links_among(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, tables: Tables) -> DataFrame:
     """Of the candidate pairs (a, b), those whose full sets are similar enough."""
     def signatures_agree(x: bytes, y: bytes) -> bool:
         return int((np.frombuffer(x, np.uint32) == np.frombuffer(y, np.uint32)).sum()) >= LEAST_AGREEING
@@ -146,45 +105,12 @@ def links_among(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int
 
     likely = tables.keep(_compared(_with_values(pairs, classes, "minima"),
                                    "minima_a", "minima_b", signatures_agree))
-    named = likely.select(F.col("a").alias("set_id")).union(likely.select("b")).distinct()
-    sets = full_sets(docs, tables.keep(classes.join(named, "set_id", "left_semi")
-                                       .select("set_id", "doc_id")), size)
     links = tables.keep(_compared(_with_values(likely, sets, "members"),
                                   "members_a", "members_b", sets_agree))
     tables.drop(likely)
     return links
 
 
-def prefix_pairs(open_sets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of sets with different labels that can reach the similarity:
-    of each set only as many of the rarest members are joined as one of which a
-    similar set must have, and from the first common one on enough must be left."""
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                own = np.frombuffer(batch.column(3)[i].as_py(), np.int64)
-                yield pa.record_batch([
-                    pa.array([batch.column(0)[i].as_py()] * len(own), pa.binary()),
-                    pa.array([batch.column(1)[i].as_py()] * len(own), pa.binary()),
-                    pa.array(np.full(len(own), batch.column(2)[i].as_py())), pa.array(own)],
-                    names=["set_id", "label", "n", "member"])
-
-    rows = open_sets.join(sets, "set_id").select("set_id", "label", "n_shingles", "members").mapInArrow(
-        members, "set_id binary, label binary, n long, member long").repartition("member")
-    ranked = rows.join(rows.groupBy("member").agg(F.count("*").alias("f")), "member").withColumn(
-        "rank", F.row_number().over(Window.partitionBy("set_id").orderBy("f", "member")))
-    # of n members, ceil(percent * n / 100) are in any similar set
-    prefix = ranked.where((100 * (F.col("n") - F.col("rank") + 1) >= percent * F.col("n")) & (F.col("f") > 1))
-    other = prefix.select("member", F.col("set_id").alias("b"), F.col("label").alias("label_b"),
-                          F.col("n").alias("n_b"), F.col("rank").alias("rank_b"))
-    left = 1 + F.least(F.col("n") - F.col("rank"), F.col("n_b") - F.col("rank_b"))
-    return (prefix.withColumnRenamed("set_id", "a").join(other, "member")
-            .where((F.col("a") < F.col("b")) & (F.col("label") != F.col("label_b"))
-                   & (100 * F.col("n") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n"))
-                   & ((100 + percent) * left >= percent * (F.col("n") + F.col("n_b"))))
-            .select("a", "b"))
-
-
 def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document, for shingles of
     ``size`` words and a Jaccard similarity of at least ``percent`` / 100 (0.8 or
@@ -205,41 +131,35 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
               .where("first < last"))
     buckets = tables.keep(banded.join(shared, "bucket"))
     tables.release()
+    met = tables.keep(classes.join(buckets, "set_id", "left_semi").select("set_id", "doc_id"))
+    sets = tables.keep(full_sets(docs, met, size))
 
     # rows that repeat a doc_id link their classes
     repeated = known.groupBy("doc_id").agg(F.min("set_id").alias("v"), F.max("set_id").alias("m")).where("v < m")
-    same_id = known.join(repeated, "doc_id").select(F.col("set_id").alias("u"), "v")
-
-    # every set with those that are first or last in most of its buckets; it has 2 * BANDS at most
-    hubs = (buckets.select("set_id", F.explode(F.array("first", "last")).alias("hub")).where("set_id <> hub")
-            .groupBy("set_id", "hub").agg(F.count("*").alias("shared"))
-            .withColumn("place", F.row_number().over(Window.partitionBy("set_id").orderBy(F.desc("shared"), "hub")))
-            .where(F.col("place") <= HUBS))
-    pairs = tables.keep(hubs.select(F.least("set_id", "hub").alias("a"), F.greatest("set_id", "hub").alias("b")).distinct())
-    found = components(links_among(pairs, classes, docs, size, percent, tables).select(
-        F.col("a").alias("u"), F.col("b").alias("v")).union(same_id), tables)
+    same_id = known.join(repeated, "doc_id").select(F.col("set_id").alias("a"), F.col("v").alias("b")).distinct()
+    labels = prefix_groups.relabelled(
+        tables.keep(classes.select("set_id", F.col("set_id").alias("label"))), same_id, tables)
+
+    # every set with the first one of the bucket partners it meets most often
+    hubs = (buckets.where("set_id <> first").groupBy("set_id", "first").agg(F.count("*").alias("shared"))
+            .groupBy("set_id").agg(F.max(F.struct("shared", "first")).alias("hub")))
+    pairs = tables.keep(hubs.select(F.col("set_id").alias("a"), F.col("hub.first").alias("b")))
+    labels = prefix_groups.relabelled(labels, links_among(pairs, classes, sets, percent, tables), tables)
     tables.release()
 
     # what still shares a bucket with another component
-    def labelled(frame: DataFrame) -> DataFrame:
-        return frame.join(found.withColumnRenamed("vertex", "set_id"), "set_id", "left").withColumn(
-            "label", F.coalesce("component", "set_id")).drop("component")
-
-    members = tables.keep(labelled(buckets.select("set_id", "bucket", "n_shingles")))
+    members = tables.keep(buckets.join(labels, "set_id"))
     undone = members.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
-    open_sets = tables.keep(members.join(undone, "bucket", "left_semi").select("set_id", "label", "n_shingles").distinct())
-    wanted = tables.keep(classes.join(open_sets, "set_id", "left_semi").select("set_id", "doc_id"))
-    rest = tables.keep(prefix_pairs(open_sets, full_sets(docs, wanted, size), percent).distinct())
-    links = links_among(rest, classes, docs, size, percent, tables)
-    labels = open_sets.select("set_id", "label")
-    bridges = (links.join(labels.toDF("a", "u"), "a").join(labels.toDF("b", "v"), "b").select("u", "v"))
-    joined = components(bridges, tables).toDF("label", "joined")
-
-    names = labelled(classes.select("set_id", "doc_id")).join(joined, "label", "left").select(
-        "set_id", "doc_id", F.coalesce("joined", "label").alias("component"))
+    open_sets = tables.keep(members.join(undone, "bucket", "left_semi").select("set_id", "label").distinct())
+    rest = tables.keep(prefix_groups.with_longs(sets.join(open_sets, "set_id", "left_semi")))
+    joined = prefix_groups.connected(rest, percent, tables, open_sets).toDF("set_id", "joined")
+    labels = prefix_groups.relabelled(labels, joined.join(open_sets, "set_id").where("label <> joined").select(
+        F.col("set_id").alias("a"), F.col("joined").alias("b")), tables)
+
+    names = classes.select("set_id", "doc_id").join(labels.withColumnRenamed("label", "component"), "set_id")
     least = names.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = tables.keep(names.join(least, "component").select("set_id", "component_id"))
-    tables.drop(classes, buckets, pairs, members, open_sets, wanted, rest)
+    tables.drop(classes, buckets, met, sets, members, open_sets, pairs, rest)
     tables.release()
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return (signed.drop("minima").join(named, "set_id", "left")

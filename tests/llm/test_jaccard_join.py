@@ -75,13 +75,13 @@ def test_a_very_long_text_and_its_near_copy(spark, tmp_path):
 
 def test_a_family_is_not_compared_pair_by_pair(spark, tmp_path, monkeypatch):
     compared = []
-    verified = jj.verified
+    verified = jj.prefix_groups.verified
 
     def counting(pairs, sets, percent):
         compared.append(pairs.count())
         return verified(pairs, sets, percent)
 
-    monkeypatch.setattr(jj, "verified", counting)
+    monkeypatch.setattr(jj.prefix_groups, "verified", counting)
     data = family(7, 300, [0, 1, 2])
     jj.jaccard_join(stored(spark, data, tmp_path / "d")).collect()
     assert 0 < sum(compared) < 10 * 300
@@ -101,7 +101,7 @@ def test_members_with_the_same_prefix_form_a_group(spark):
     sets = [[*range(10), *range(100 + 10 * i, 120 + 10 * i)] for i in range(3)]
     sets += [[1000 + i, *range(100, 140)] for i in range(20)]
     frame = spark.createDataFrame([(str(i).encode(), s) for i, s in enumerate(sets)], "set_id binary, members array<long>")
-    groups, members = jj.grouped(jj.prefixes(frame, 80))
+    groups, members = jj.prefix_groups.grouped(jj.prefix_groups.prefixes(frame, 80))
     group = {r.set_id: r.group for r in members.collect()}
     assert group[b"0"] == group[b"1"] == group[b"2"] == b"0"
     assert len(set(group.values())) == groups.count() == len(group) - 2
