@@ -26,3 +26,14 @@ def build_session(app: str = "castledger", master: str | None = None,
     for name, value in {**SETTINGS, **settings}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that the driver and all executors see: ``spark.checkpoint.dir``.
+    Where it is unset, the warehouse will do only if driver and executors are one
+    process; elsewhere it could be a disk of the driver alone."""
+    if folder := spark.conf.get("spark.checkpoint.dir", None):
+        return folder
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
