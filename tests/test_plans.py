@@ -52,6 +52,13 @@ def test_budget_reuses_the_aggregated_actuals(spark, folder):
     assert "ReusedExchange" in plan_of(df)
 
 
-def test_month_ranking_has_no_window_over_products(spark, folder):
-    plan = plan_of(models(spark, folder).get("mart_margem_produto"))
-    assert "row_number" not in plan
+def test_month_ranking_has_no_large_task(spark, folder):
+    from castledger.operators import ordered
+    from castledger.operators.intermediate import MONTH
+
+    margins = models(spark, folder).get("product_margins")
+    placed = ordered.with_cells(margins, MONTH, "margem_bruta", ["produto_id", "linha_producao_id"], cells=8)
+    cells = {(r.ano, r.mes, r[ordered._CELL]): r["count"] for r in placed.groupBy(*MONTH, ordered._CELL).count().collect()}
+    for month in {c[:2] for c in cells}:
+        own = [n for c, n in cells.items() if c[:2] == month]
+        assert max(own) <= 2 * sum(own) / 8 + 1
