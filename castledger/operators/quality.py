@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from castledger.functions.expr import TOTAL, month_start, money, total
@@ -101,28 +101,64 @@ def _count(condition: Column) -> Column:
     return F.count_if(condition)
 
 
-def _column_checks(check: str, table: str, df: DataFrame,
-                   tests: dict[str, Column]) -> DataFrame:
-    """One pass over ``df``; one output row per tested column."""
-    counted = df.agg(*[_count(test).alias(column) for column, test in tests.items()])
-    rows = F.array(*[
-        F.struct(F.lit(column).alias("column_name"), F.col(column).alias("failing_rows"))
-        for column in tests])
-    return counted.select(
-        F.lit(check).alias("check_name"), F.lit(table).alias("table_name"), F.inline(rows))
+def _not_null_tests(table: str) -> dict[str, Column]:
+    return {c: F.col(c).isNull() for c in NOT_NULL.get(table, ())}
+
+
+def _accepted_tests(table: str) -> dict[str, Column]:
+    return {c: F.col(c).isNotNull() & ~F.col(c).isin(*values) for c, values in ACCEPTED_VALUES.get(table, {}).items()}
+
+
+def _column_tests(table: str) -> dict[tuple[str, str], Column]:
+    """The declared column checks of a table by check and column."""
+    return {**{("not_null", c): test for c, test in _not_null_tests(table).items()},
+            **{("accepted_values", c): test for c, test in _accepted_tests(table).items()}}
+
+
+def _counts(tests: dict[tuple[str, str], Column]) -> list[Column]:
+    return [_count(test).alias(f"{check}.{column}") for (check, column), test in tests.items()]
+
+
+def _checked(table: str, df: DataFrame, tests: dict[tuple[str, str], Column]) -> DataFrame:
+    """One pass over ``df``; one output row per test."""
+    rows = F.array(*[_finding(check, table, column, F.col(f"`{check}.{column}`")) for check, column in tests])
+    return df.agg(*_counts(tests)).select(F.inline(rows))
+
+
+def observed(df: DataFrame, table: str) -> tuple[DataFrame, Observation]:
+    """The rows with their column checks attached: whatever job writes them counts
+    the failures, and no other pass is needed."""
+    found = Observation()
+    return df.observe(found, F.count(F.lit(1)).alias("rows"), *_counts(_column_tests(table))), found
+
+
+def column_checks(source: Source, findings: dict[str, dict[str, int]] | None = None) -> DataFrame:
+    """NOT NULL and accepted-value checks of every model: those of a model in
+    ``findings`` as they were counted when it was written, those of the others in
+    one pass over each."""
+    findings, parts, known = findings or {}, [], []
+    for table in {**NOT_NULL, **ACCEPTED_VALUES}:
+        tests = _column_tests(table)
+        if table in findings:
+            known += [(check, table, column, findings[table][f"{check}.{column}"]) for check, column in tests]
+        else:
+            parts.append(_checked(table, source(table), tests))
+    if known:
+        parts.append(SparkSession.active().createDataFrame(
+            known, "check_name string, table_name string, column_name string, failing_rows bigint"))
+    return union_all(parts)
 
 
 def dq_not_null(source: Source) -> DataFrame:
     return union_all(
-        _column_checks("not_null", table, source(table), {c: F.col(c).isNull() for c in columns})
-        for table, columns in NOT_NULL.items())
+        _checked(table, source(table), {("not_null", c): t for c, t in _not_null_tests(table).items()})
+        for table in NOT_NULL)
 
 
 def dq_accepted_values(source: Source) -> DataFrame:
     return union_all(
-        _column_checks("accepted_values", table, source(table), {
-            c: F.col(c).isNotNull() & ~F.col(c).isin(*values) for c, values in columns.items()})
-        for table, columns in ACCEPTED_VALUES.items())
+        _checked(table, source(table), {("accepted_values", c): t for c, t in _accepted_tests(table).items()})
+        for table in ACCEPTED_VALUES)
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:

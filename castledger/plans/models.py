@@ -30,6 +30,7 @@ class Models:
         self.source = source
         self.params = params
         self._stored = dict(stored or {})
+        self.findings: dict[str, dict[str, int]] = {}  # of the column checks made while a model was written
 
     def store(self, name: str, table: DataFrame) -> None:
         self._stored[name] = table

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 
 from castledger.functions.expr import NUMERIC
-from castledger.operators import planning, quality, reports
+from castledger.operators import planning, quality, reports, sketches
 from castledger.operators.intermediate import EXPENSE_CLASSES, OPERATING_CLASSES
 from castledger.plans import queries as q
 from castledger.sources.registry import SPECS, TABLES
@@ -90,7 +90,7 @@ PADRAO = r2(f"cast(p_retailprice as {M}) * {d('0.60')}")
 INDEX = "cast(100 + ({i} * 7 + ({k}) * 13) % 36 as decimal(10,0)) * " + d("0.01")
 
 
-def _sales(id_tail: str) -> str:
+def _sales(id_tail: str, product: str = "l_partkey", tax: str = "0") -> str:
     gross = f"cast(l_extendedprice as {M})"
     discount = r2(f"{gross} * cast(l_discount as decimal(6,4))")
     back = r2(f"{gross} * {d('0.1')}")
@@ -103,7 +103,7 @@ def _sales(id_tail: str) -> str:
         ' ' || lower(c_name) || ' ' as cliente_nome,
         case when c_mktsegment = 'AUTOMOBILE' then ' montadora ' else 'distribuidor' end
           as tipo_cliente,
-        cast(l_partkey as varchar) as produto_id,
+        cast({product} as varchar) as produto_id,
         case when l_orderkey % 97 = 0 then 0.0::double else l_quantity end as quantidade,
         l_extendedprice as preco_unitario,
         case when l_orderkey % 101 = 0 then 0.0::double else l_extendedprice end as valor_bruto,
@@ -111,19 +111,22 @@ def _sales(id_tail: str) -> str:
         cast({discount} as double) as valor_desconto,
         {returned.format('floor(l_quantity / 10)')} as devolucao_quantidade,
         {returned.format(f'cast({back} as double)')} as devolucao_valor,
-        cast({gross} - {discount} - case when l_returnflag = 'R' then {back} else 0 end as double)
+        cast({gross} - {discount} - case when l_returnflag = 'R' then {back} + {tax} else 0 end as double)
           as valor_liquido,
         'LP0' || (l_partkey % 4 + 1) as linha_producao_id
       from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey"""
 
 
+_LONG_ID = " || '-' || l_partkey || '-' || l_suppkey || '-' || cast(l_shipdate as date)"
+
 CTES: dict[str, str] = {
     "calendario": """
       select cast(unnest(generate_series(date_trunc('month', min(l_shipdate)),
         date_trunc('month', max(l_shipdate)), interval 1 month)) as date) as mes from lineitem""",
-    "raw_vendas": _sales(" || '-' || l_partkey || '-' || l_suppkey || '-' || "
-                         "cast(l_shipdate as date)"),
+    "raw_vendas": _sales(_LONG_ID),
     "raw_vendas_linha": _sales(""),
+    "raw_vendas_composto": _sales(_LONG_ID, product="l_partkey + l_linenumber - 1"),
+    "raw_vendas_imposto": _sales(_LONG_ID, tax=r2(f"cast(l_extendedprice as {M}) * cast(l_tax as decimal(6,4))")),
     "custo_base": f"""
       select p_partkey, mes, {age('mes')} as i, {PADRAO} as padrao,
         cast({INDEX.format(i=age('mes'), k='p_partkey % 4')} as decimal(6,4)) as indice
@@ -211,6 +214,19 @@ CTES: dict[str, str] = {
 }
 
 
+CTES["entrega"] = """
+    select case when o_orderkey % 67 <> 0 then 'DESP-' || o_orderkey end as despesa_id,
+      case when o_orderkey % 61 = 0 then strftime(o_orderdate, '%d/%m/%Y') else strftime(o_orderdate, '%Y-%m-%d') end
+        as mes_referencia,
+      o_orderstatus as centro_custo_tipo, o_orderpriority as natureza, 'DEPRECIACAO' as classificacao_dre,
+      case when o_orderkey % 53 = 0 then 'n/d' when o_orderkey % 59 = 0 then '1.234,50'
+        when o_orderkey % 71 = 0 then ' ' else printf('%.2f', o_totalprice) end as valor,
+      case when o_orderkey % 61 <> 0 then cast(o_orderdate as date) end as dia,
+      case when o_orderkey % 53 <> 0 and o_orderkey % 59 <> 0 and o_orderkey % 71 <> 0
+        then cast(printf('%.2f', o_totalprice) as double) end as numero
+    from orders"""
+
+
 # -- staging ---------------------------------------------------------------
 
 def _stg_vendas(raw: str) -> str:
@@ -231,6 +247,8 @@ def _stg_vendas(raw: str) -> str:
 CTES |= {
     "stg_vendas": _stg_vendas("raw_vendas"),
     "stg_vendas_linha": _stg_vendas("raw_vendas_linha"),
+    "stg_vendas_composto": _stg_vendas("raw_vendas_composto"),
+    "stg_vendas_imposto": _stg_vendas("raw_vendas_imposto"),
     "stg_custos": f"""
       select produto_id, linha_producao_id, {dated('mes_referencia', 'mes_referencia')},
         {', '.join(f'{money(c)} as {c}' for c in (
@@ -473,18 +491,14 @@ def _check(check: str, table: str, column: str, failing: str) -> str:
 
 def _dq_not_null() -> str:
     return _union(
-        _check("not_null", t, c, f"count(*) - count({c})") + f" from {_margin_alias(t)}"
+        _check("not_null", t, c, f"count(*) - count({c})") + f" from {t}"
         for t, columns in quality.NOT_NULL.items() for c in columns)
 
 
-def _margin_alias(table: str) -> str:
-    return "product_margins" if table == "mart_margem_produto" else table
-
-
 def _dq_accepted() -> str:
     return _union(
         _check("accepted_values", t, c, f"count(*) filter ({c} not in ({_list(values)}))")
-        + f" from {_margin_alias(t)}"
+        + f" from {t}"
         for t, columns in quality.ACCEPTED_VALUES.items() for c, values in columns.items())
 
 
@@ -501,15 +515,56 @@ def _dq_unique() -> str:
 
 
 def _dq_relationships() -> str:
-    def parent(table: str) -> str:
-        kept = f" where cast(produto_id as bigint) % {q.ORPHAN_DIVISOR} <> 0"
-        return f"(select * from {table}{kept if table == 'stg_produtos' else ''})"
+    def child(table: str) -> str:
+        return f"{table}_composto" if table == "stg_vendas" else table
 
     return _union(
-        _check("relationships", child, k, "count(*)")
-        + f" from {child} f where {k} is not null and not exists "
-          f"(select 1 from {parent(up)} p where p.{k} = f.{k})"
-        for child, k, up in quality.RELATIONSHIPS)
+        _check("relationships", table, k, "count(*)")
+        + f" from {child(table)} f where {k} is not null and not exists "
+          f"(select 1 from {up} p where p.{k} = f.{k})"
+        for table, k, up in quality.RELATIONSHIPS)
+
+
+def _loaded(table: str) -> str:
+    """When a row of the test binding was loaded."""
+    def after(x: str) -> str:
+        return f"cast(date_trunc('month', {x}) + interval 1 month as timestamp)"
+
+    spec = SPECS[table]
+    special = {
+        "raw_vendas": f"case when venda_id is not null then {after('data_emissao')} end",
+        "raw_orcamento": "cast(make_date(ano - 1, 12, 1) as timestamp)",
+        "raw_historico_custos": "cast(data_vigencia_inicio as timestamp)", "raw_commodities": after("mes")}
+    if table in special:
+        return special[table]
+    if spec.partition:
+        return after(spec.partition)
+    return f"cast(date '2025-01-01' + to_days(cast(length({spec.key}) as integer)) as timestamp)"
+
+
+def _load_line(t) -> str:
+    day = f"cast({{}}({t.partition}) as date)" if t.partition else "cast(null as date)"
+    nulls = f"count(*) - count({t.key})" if t.key else "cast(0 as bigint)"
+    return (f"select '{t.table}' as tabela, count(*) as registros, {nulls} as chaves_nulas, cast(0 as bigint) as sem_carga, "
+            f"{day.format('min')} as primeira_data, {day.format('max')} as ultima_data, '{t.partition or ''}' as particao, "
+            f"'{','.join(t.cluster)}' as clusters from {t.table}")
+
+
+def _problems() -> str:
+    return _union((
+        "select despesa_id, mes_referencia as entregue, 'despesa_id' as coluna, cast(null as varchar) as valor, "
+        "'MISSING_KEY' as motivo from entrega where despesa_id is null",
+        "select despesa_id, mes_referencia, 'mes_referencia', mes_referencia, 'NOT_A_DATE' from entrega where dia is null",
+        "select despesa_id, mes_referencia, 'valor', valor, 'NOT_A_NUMBER' from entrega "
+        "where numero is null and trim(valor) <> ''"))
+
+
+def _distinct_level(level: str, by: tuple[str, ...]) -> str:
+    keys = ", ".join(c if c in by else f"cast(null as {t}) as {c}" for c, t in (
+        ("ano", "bigint"), ("mes", "bigint"), ("linha_producao_id", "varchar")))
+    counts = ", ".join(f"count(distinct {c}) as {name}" for c, name in sketches.COUNTED.items())
+    return (f"select '{level}' as nivel, {keys}, {counts}, true as dentro_do_limite from stg_vendas "
+            f"group by {', '.join(by)}")
 
 
 def _duplicate_samples() -> str:
@@ -675,6 +730,18 @@ def _profile_mean(x: str, name: str) -> str:
     return f"{quotient(cents(f'sum({money(x)})'), f'count({x})', 0)} / 100.0::double as {name}"
 
 
+_SCD2_BUILT = f"""
+      select historico_id, produto_id, cast(antes as double) as custo_padrao_anterior,
+        cast(novo as double) as custo_padrao_novo, valid_from,
+        coalesce(cast(proximo - interval 1 day as date), date '9999-12-31') as valid_to,
+        proximo is null as is_current, motivo_alteracao,
+        case when antes > 0 then {quotient(f"({cents('novo')} - {cents('antes')})", cents('antes'), 4)}
+          / 10000.0::double end as variacao_pct
+      from (select historico_id, produto_id, valid_from, motivo_alteracao, custo_padrao_novo as novo,
+              lag(custo_padrao_novo) over w as antes, lead(valid_from) over w as proximo
+            from dim_historico_custos
+            window w as (partition by produto_id order by valid_from, historico_id))"""
+
 _FINAL: dict[str, str] = {
     "stg_vendas": _out("stg_vendas", _SALES_MONEY),
     "stg_custos": _out("stg_custos", "custo_materia_prima custo_mao_obra_direta "
@@ -708,14 +775,23 @@ _FINAL: dict[str, str] = {
         case when o_orderkey % 211 = 0 then 'n/d' else strftime(o_orderdate, '%Y-%m-%d') end
           as data_prevista,
         case when o_orderkey % 5 <> 0 then cast(o_orderdate as date) end as vigencia_inicio,
-        strftime(o_orderdate, '%Y-%m-%d') as observacao
+        strftime(o_orderdate, '%Y-%m-%d') as observacao,
+        cast(o_orderdate as date) as data_local, cast(o_orderdate as date) as data_mes_primeiro,
+        cast(o_orderdate as date) as data_compacta,
+        case when o_orderkey % 2 = 0 then strftime(o_orderdate, '%Y-%m-%d')
+          else strftime(o_orderdate, '%d/%m/%Y') end as data_mista
       from orders""",
     "bronze_month_partitions": _union(
         f"select '{t.table}' as tabela, {month(t.partition)} as mes_particao, count(*) as registros "
         f"from {t.table} group by 1, 2" for t in TABLES if t.partition),
-    "bronze_load_report": _union(
-        f"select '{t.table}' as tabela, count(*) as registros, '{t.partition or ''}' as particao, "
-        f"'{','.join(t.cluster)}' as clusters from {t.table}" for t in TABLES),
+    "bronze_load_report": _union(map(_load_line, TABLES)),
+    "upserted_income_statement": _out("mart_dre_mensal", _STATEMENT_MONEY),
+    "quarantine_accepted": """
+      select despesa_id, dia as mes_referencia, centro_custo_tipo, natureza, classificacao_dre, numero as valor
+      from entrega where despesa_id is not null and dia is not null and (numero is not null or trim(valor) = '')""",
+    "quarantine_rejected": _problems(),
+    "distinct_sketches": _union(_distinct_level(level, by) for level, by in (
+        ("mes", ("ano", "mes", "linha_producao_id")), ("ano", ("ano",)), ("linha", ("linha_producao_id",)))),
     "bronze_row_counts": _union(
         f"select '{t.table}' as tabela, count(*) as registros from {t.table}" for t in TABLES),
     "bronze_null_keys": _union(
@@ -744,18 +820,18 @@ _FINAL: dict[str, str] = {
         f"case when count(*) >= {t.min_rows} then 'OK' else 'ALERTA' end as status from {t.table}"
         for t in TABLES),
     "dq_ingested_at": _union(
-        f"select '{t.table}' as tabela, count(*) as registros, cast(0 as bigint) as nulos, "
-        f"cast(1 as bigint) as cargas from {t.table}" for t in TABLES),
+        f"select '{t.table}' as tabela, count(*) as registros, count(*) - count(carga) as nulos, "
+        f"count(distinct carga) as cargas from (select {_loaded(t.table)} as carga from {t.table})" for t in TABLES),
     "bronze_load_ranges": _union(
         f"select '{t}' as tabela, min(carga) as primeira_carga, max(carga) as ultima_carga "
-        f"from (select timestamp '2025-01-01 00:00:00' as carga from {t})"
+        f"from (select {_loaded(t)} as carga from {t})"
         for t in quality.LOAD_RANGE_TABLES),
     "dq_net_reconciliation": """
       select ano, mes, count(*) as registros,
         count(*) filter (abs(gap) > 0.01) as divergentes,
         cast(coalesce(sum(gap) filter (abs(gap) > 0.01), 0) as double) as diferenca
       from (select *, valor_bruto - valor_desconto - devolucao_valor - valor_liquido as gap
-            from stg_vendas)
+            from stg_vendas_imposto)
       group by ano, mes""",
     "dedup_vendas": _out("""(select *exclude(posicao) from (
         select *, row_number() over (partition by venda_id order by data_emissao, produto_id,
@@ -766,17 +842,8 @@ _FINAL: dict[str, str] = {
     "scd2_lookup_between": _lookup("between"),
     "scd2_lookup_asof": _lookup("asof"),
     "scd2_current": _lookup("current"),
-    "scd2_build": f"""
-      select historico_id, produto_id, cast(antes as double) as custo_padrao_anterior,
-        cast(novo as double) as custo_padrao_novo, valid_from,
-        coalesce(cast(proximo - interval 1 day as date), date '9999-12-31') as valid_to,
-        proximo is null as is_current, motivo_alteracao,
-        case when antes > 0 then {quotient(f"({cents('novo')} - {cents('antes')})", cents('antes'), 4)}
-          / 10000.0::double end as variacao_pct
-      from (select historico_id, produto_id, valid_from, motivo_alteracao, custo_padrao_novo as novo,
-              lag(custo_padrao_novo) over w as antes, lead(valid_from) over w as proximo
-            from dim_historico_custos
-            window w as (partition by produto_id order by valid_from, historico_id))""",
+    "scd2_build": _SCD2_BUILT,
+    "scd2_merged": _SCD2_BUILT,
     "product_status_counts":
         "select status, count(*) as produtos from stg_produtos group by status",
     "revenue_grand_totals": """

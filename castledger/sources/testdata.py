@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from castledger.functions.expr import dec, month_start
-from castledger.sources.registry import INGESTED_AT
+from castledger.sources.registry import INGESTED_AT, SPECS, TableSpec
 
-LOAD_TIME = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)
+LOAD_DAY = dt.date(2025, 1, 1)
 BASE_YEAR = 1995
 QUARTERS = 28
 
@@ -63,8 +63,24 @@ class TestData:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def raw(self, table: str) -> DataFrame:
-        df = getattr(self, table)()
-        return df.withColumn(INGESTED_AT, F.lit(LOAD_TIME).cast("timestamp"))
+        return getattr(self, table)().withColumn(INGESTED_AT, self._loaded(SPECS[table]).cast("timestamp"))
+
+    def _loaded(self, spec: TableSpec) -> Column:
+        """When a row might have been loaded: dated rows after the end of their
+        month (a sale without id never was), budgets in the December before, cost
+        revisions when they start, master data on days that follow from the key."""
+        def after(c: str) -> Column:
+            return F.add_months(month_start(c), 1)
+
+        if spec.table == "raw_vendas":
+            return F.when(F.col("venda_id").isNotNull(), after("data_emissao"))
+        if spec.table == "raw_orcamento":
+            return F.make_date(F.col("ano").cast("int") - 1, F.lit(12), F.lit(1))
+        if spec.table == "raw_historico_custos":
+            return F.col("data_vigencia_inicio").cast("date")
+        if spec.table == "raw_commodities":
+            return after("mes")
+        return after(spec.partition) if spec.partition else F.date_add(F.lit(LOAD_DAY), F.length(spec.key))
 
     # -- calendar ---------------------------------------------------------
 
@@ -78,9 +94,13 @@ class TestData:
 
     # -- facts ------------------------------------------------------------
 
-    def raw_vendas(self, line_key_only: bool = False) -> DataFrame:
-        """Sales lines. ``line_key_only`` shortens the id to order and line
-        number, which repeats in the data and so exercises the duplicate checks."""
+    def raw_vendas(self, line_key_only: bool = False, line_in_product: bool = False,
+                   net_of_tax: bool = False) -> DataFrame:
+        """Sales lines. Three variants hold faults that checks must find:
+        ``line_key_only`` shortens the id to order and line number, which repeats in
+        the data; ``line_in_product`` adds the line to the product number, which
+        leads past the last product; ``net_of_tax`` takes the tax of returned lines
+        off the net value."""
         orders = self.read("orders").groupBy("o_orderkey").agg(
             F.max("o_custkey").alias("o_custkey"))
         customers = self.read("customer").groupBy("c_custkey").agg(
@@ -99,6 +119,8 @@ class TestData:
         gross = _cents("l_extendedprice")
         discount = F.floor((gross * _cents("l_discount") + 50) / 100)
         returned = F.floor((gross + 5) / 10)
+        tax = F.floor((gross * _cents("l_tax") + 50) / 100) if net_of_tax else F.lit(0)
+        product = F.col("l_partkey") + F.col("l_linenumber") - 1 if line_in_product else F.col("l_partkey")
         is_returned = F.col("l_returnflag") == "R"
         is_plain = F.col("l_returnflag") == "N"
         return sales.select(
@@ -110,7 +132,7 @@ class TestData:
             F.concat(F.lit(" "), F.lower("c_name"), F.lit(" ")).alias("cliente_nome"),
             F.when(F.col("c_mktsegment") == "AUTOMOBILE", " montadora ")
             .otherwise("distribuidor").alias("tipo_cliente"),
-            _text("l_partkey").alias("produto_id"),
+            product.cast("string").alias("produto_id"),
             F.when(order % 97 == 0, F.lit(0.0)).otherwise(F.col("l_quantity")).alias("quantidade"),
             F.col("l_extendedprice").alias("preco_unitario"),
             F.when(order % 101 == 0, F.lit(0.0)).otherwise(F.col("l_extendedprice"))
@@ -121,7 +143,7 @@ class TestData:
             .when(is_plain, F.lit(0.0)).alias("devolucao_quantidade"),
             F.when(is_returned, returned / 100).when(is_plain, F.lit(0.0))
             .alias("devolucao_valor"),
-            ((gross - discount - F.when(is_returned, returned).otherwise(F.lit(0))) / 100)
+            ((gross - discount - F.when(is_returned, returned + tax).otherwise(F.lit(0))) / 100)
             .alias("valor_liquido"),
             _line_of("l_partkey").alias("linha_producao_id"),
         )
