@@ -133,42 +133,29 @@ def mart_margem_produto(margins: DataFrame) -> DataFrame:
 
 
 def mart_orcado_realizado(budget: DataFrame, expenses: DataFrame) -> DataFrame:
-    """Budget against actual per month and nature: a full outer join.
-
-    It is written as left join plus anti join because a full outer sort-merge
-    join holds all rows of a key in memory and cannot be split when one key is
-    hot; the left join streams the budget side and can be. Both halves read one
-    exchange of the aggregated actuals: the join keys are never null (a missing
-    value differs from that of the other side), so neither half filters them, and
-    both use all their columns.
+    """Budget against actual per month and nature: one full outer join, so that
+    either side is computed once.
+
+    Such a join holds the rows of a key in memory and can't split a hot one. There
+    is none: the actuals are folded to class and cost centre first, with map-side
+    combine, so a key has as many rows as there are of those, however many expenses
+    it has; and a budget has one row per line. The join is never a broadcast.
     """
     key = ["ano", "mes", "natureza"]
-
-    def met(missing: str) -> list[Column]:
-        return [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(missing)).alias(f"_{c}") for c in key]
-
-    keys = [f"_{c}" for c in key]
-    planned = budget.select(*key, *met("budget"), "tipo", "centro_custo_tipo", "valor_orcado")
+    planned = budget.select(*key, "tipo", "centro_custo_tipo", "valor_orcado")
     actual = expenses.groupBy(
         *key, F.col("classificacao_dre").alias("tipo_real"),
         F.col("centro_custo_tipo").alias("centro_real"),
-    ).agg(total("valor").alias("valor_realizado")).select(
-        *[F.col(c).alias(f"{c}_real") for c in key], *met("actual"), "tipo_real", "centro_real", "valor_realizado",
-    ).repartition(*keys)
-
-    matched = planned.join(actual, keys, "left").select(
-        *[F.coalesce(c, f"{c}_real").alias(c) for c in key], F.coalesce("tipo", "tipo_real").alias("tipo"),
+    ).agg(total("valor").alias("valor_realizado"))
+    compared = planned.join(actual, key, "full_outer").select(
+        *key, F.coalesce("tipo", "tipo_real").alias("tipo"),
         F.coalesce("centro_custo_tipo", "centro_real").alias("centro_custo_tipo"),
         F.col("valor_orcado").cast(TOTAL).alias("orcado"), F.col("valor_realizado").alias("real"))
-    unplanned = actual.join(planned.select(*keys).distinct(), keys, "left_anti").select(
-        *[F.col(f"{c}_real").alias(c) for c in key], F.col("tipo_real").alias("tipo"),
-        F.col("centro_real").alias("centro_custo_tipo"),
-        F.lit(None).cast(TOTAL).alias("orcado"), F.col("valor_realizado").alias("real"))
 
     gap = (or_zero("real") - or_zero("orcado")).cast(TOTAL)
     base = F.nullif(F.col("orcado"), F.lit(0).cast(TOTAL))
     size = F.abs("variancia_pct")
-    return matched.unionByName(unplanned).select(
+    return compared.select(
         *key, "tipo", "centro_custo_tipo",
         or_zero("orcado").alias("valor_orcado"),
         or_zero("real").alias("valor_realizado"),

@@ -9,8 +9,10 @@ failing_rows``.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -317,22 +319,24 @@ def assert_valid(report: DataFrame) -> None:
 def validate_bronze(source: Source, tables: Iterable[TableSpec] = TABLES) -> DataFrame:
     """Readability, minimum rows and audit column of every table, in one report.
 
-    A table that cannot be resolved is a finding, not a reason to skip it.
+    A table that cannot be resolved, or whose files fail while they are read, is a
+    finding, not a reason to skip it or to end the report. Each table is one small
+    job; they run side by side.
     """
-    parts = []
-    for spec in tables:
+    def findings(spec: TableSpec) -> list[tuple[str, str, str, int]]:
         try:
-            df = source(spec.table)
-        except PySparkException:
-            broken = _finding("readable", spec.table, "", F.lit(1))
-            parts.append(SparkSession.active().range(1).select(F.inline(F.array(broken))))
-            continue
-        counts = df.agg(F.count("*").alias("n"), _count(F.col(INGESTED_AT).isNull()).alias("nulls"))
-        short = F.greatest(F.lit(spec.min_rows) - F.col("n"), F.lit(0))
-        parts.append(counts.select(F.inline(F.array(
-            _finding("min_rows", spec.table, "", short),
-            _finding("not_null", spec.table, INGESTED_AT, F.col("nulls"))))))
-    return union_all(parts)
+            found = source(spec.table).agg(
+                F.count("*").alias("n"), _count(F.col(INGESTED_AT).isNull()).alias("nulls")).first()
+        except (PySparkException, Py4JJavaError):
+            return [("readable", spec.table, "", 1)]
+        return [("min_rows", spec.table, "", max(spec.min_rows - found["n"], 0)),
+                ("not_null", spec.table, INGESTED_AT, found["nulls"])]
+
+    tables = list(tables)
+    with ThreadPoolExecutor(max(len(tables), 1)) as pool:
+        rows = [row for found in pool.map(findings, tables) for row in found]
+    return SparkSession.active().createDataFrame(
+        rows, "check_name string, table_name string, column_name string, failing_rows bigint")
 
 
 def _finding(check: str, table: str, column: str, failing: Column) -> Column:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from castledger.functions.expr import TOTAL, dec, growth_pct, pct, total
-from castledger.operators.intermediate import MONTH
+from castledger.functions.expr import TOTAL, dec, growth_pct, pct, ratio, times, total
+from castledger.operators.intermediate import MONTH, product_months
 from castledger.operators.marts import FinanceParams
 from castledger.operators.scd2 import lookup_asof
 
@@ -202,6 +202,39 @@ def commodity_impact(indices: DataFrame, costs: DataFrame) -> DataFrame:
         "custo_mp_medio", "custo_mp_mom_pct", "custo_total_medio")
 
 
+def commodity_margin_effect(sales: DataFrame, costs: DataFrame) -> DataFrame:
+    """What the commodity index does to the margin of each product and month: its
+    raw material at the month's index against the same at index 1, times the
+    quantity sold. Sales are folded to product-months before the costs are joined."""
+    unit = costs.where(F.col("custo_total_unitario").isNotNull()).select(
+        "produto_id", "ano", "mes", "indice_commodity", "custo_total_unitario", "custo_materia_prima",
+        ratio(F.col("custo_materia_prima"), F.nullif("indice_commodity", F.lit(0)), 2, "decimal(20,4)").alias("mp_neutra"))
+    sold = product_months(sales).join(unit.hint("merge"), ["produto_id", "ano", "mes"])
+    net, margin = F.col("receita_liquida"), F.col("margem_bruta")
+    without = (margin + F.col("efeito_commodity")).cast(TOTAL)
+    return sold.select(
+        *MONTH, "produto_id", "linha_producao_id", line_commodity().alias("commodity"), "indice_commodity", "qtd_vendida",
+        "receita_liquida", (net - times("qtd_vendida", "custo_total_unitario")).cast(TOTAL).alias("margem_bruta"),
+        times("qtd_vendida", F.col("custo_materia_prima") - F.col("mp_neutra")).alias("efeito_commodity"),
+    ).select(
+        "*", without.alias("margem_sem_commodity"), pct(margin, net).alias("margem_bruta_pct"),
+        pct(without, net).alias("margem_sem_commodity_pct"))
+
+
+def kpis_by_calendar(statement: DataFrame) -> DataFrame:
+    """Each month against the same month of the year before, by the calendar: a
+    missing month leaves its comparison empty instead of shifting all later ones.
+    The window sees one row per month."""
+    number = F.col("ano") * 12 + F.col("mes")
+    year_before = Window.orderBy("_month").rangeBetween(-12, -12)
+    measures = ("receita_liquida", "lucro_bruto", "ebitda", "lucro_liquido")
+    return statement.withColumn("_month", number).select(
+        *MONTH, *measures, *[F.max(m).over(year_before).alias(f"{m}_ano_anterior") for m in measures],
+    ).select(
+        "*", *[growth_pct(F.col(m), F.col(f"{m}_ano_anterior"), m != "receita_liquida").alias(f"{m}_yoy_calendario_pct")
+               for m in measures])
+
+
 def _growth4(now: Column, before: Column) -> Column:
     """Percent change of a four-digit index."""
     change = F.try_divide((now - before).cast("decimal(18,4)"), before.cast("decimal(18,4)"))

@@ -718,6 +718,28 @@ def _commodity_impact() -> str:
                   from stg_commodities)) using (ano, mes, commodity)"""
 
 
+def _commodity_margin_effect() -> str:
+    neutral = quotient(cents("custo_materia_prima"), "cast(round(indice_commodity * 10000, 0) as hugeint)", 4)
+    return f"""select ano, mes, produto_id, linha_producao_id, {_line_commodity()} as commodity,
+        cast(indice_commodity as double) as indice_commodity, qtd_vendida, cast(receita_liquida as double) as receita_liquida,
+        cast(margem as double) as margem_bruta, cast(efeito as double) as efeito_commodity,
+        cast(margem + efeito as double) as margem_sem_commodity,
+        cast({pct('margem', 'receita_liquida')} as double) as margem_bruta_pct,
+        cast({pct('margem + efeito', 'receita_liquida')} as double) as margem_sem_commodity_pct
+      from (select v.*, c.indice_commodity, receita_liquida - qtd_vendida * custo_total_unitario as margem,
+              cast(qtd_vendida * ({cents('custo_materia_prima')} - {neutral}) as decimal(30,0)) * {d('0.01')} as efeito
+            from vendas_mes v join stg_custos c using (produto_id, ano, mes))"""
+
+
+def _kpis_by_calendar() -> str:
+    measures = ("receita_liquida", "lucro_bruto", "ebitda", "lucro_liquido")
+    return f"""select a.ano, a.mes, {', '.join(f'cast(a.{m} as double) as {m}' for m in measures)},
+        {', '.join(f'cast(b.{m} as double) as {m}_ano_anterior' for m in measures)},
+        {', '.join(f"cast({growth(f'a.{m}', f'b.{m}', m != 'receita_liquida')} as double) as {m}_yoy_calendario_pct"
+                   for m in measures)}
+      from mart_dre_mensal a left join mart_dre_mensal b on b.ano = a.ano - 1 and b.mes = a.mes"""
+
+
 def _seasonality() -> str:
     return f"""select mes, n as meses, {quotient('r', 'n', 0)} / 100.0::double as receita_media,
         {quotient('(r * sum(n) over ())', '(sum(r) over () * n)', 4)} / 10000.0::double
@@ -914,6 +936,8 @@ _FINAL: dict[str, str] = {
         "receita_liquida total_despesas_operacionais ebitda margem_ebitda_pct"),
     "seasonality_index": _seasonality(),
     "commodity_impact": _commodity_impact(),
+    "commodity_margin_effect": _commodity_margin_effect(),
+    "kpis_by_calendar": _kpis_by_calendar(),
     "cost_rollup": _cost_rollup(),
     "budget_phasing": _budget_phasing(),
     "revenue_linked_expense": _revenue_linked(),

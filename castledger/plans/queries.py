@@ -287,6 +287,11 @@ def _commodity_impact(spark: SparkSession, folder: str) -> DataFrame:
     return reports.commodity_impact(m.get("stg_commodities"), m.get("stg_custos"))
 
 
+def _commodity_margin_effect(spark: SparkSession, folder: str) -> DataFrame:
+    m = models(spark, folder)
+    return reports.commodity_margin_effect(m.get("stg_vendas"), m.get("stg_custos"))
+
+
 def _sources(check: Callable) -> Query:
     return lambda spark, folder: check(TestData(spark, folder).raw)
 
@@ -338,6 +343,8 @@ _QUERIES: dict[str, Query] = {
     "worst_ebitda_months": _on("mart_dre_mensal", reports.worst_ebitda_months),
     "seasonality_index": _on("mart_dre_mensal", reports.seasonality_index),
     "commodity_impact": _commodity_impact,
+    "commodity_margin_effect": _commodity_margin_effect,
+    "kpis_by_calendar": _on("mart_dre_mensal", reports.kpis_by_calendar),
     "cost_rollup": _cost_rollup,
     "budget_phasing": _budget_phasing,
     "revenue_linked_expense": _revenue_linked,

@@ -68,10 +68,12 @@ def test_reload_replaces_rows(spark, landing, built):
         later.replace(tzinfo=None)]
 
 
-def test_report_counts_rows_and_bytes(spark, built):
-    rows = {r.tabela: r for r in bronze.load_report(spark, LAYERS, SMALL).collect()}
+def test_report_counts_rows_and_bytes(spark, landing, built):
+    landed = Layers("r_bronze", "r_silver", "r_gold")
+    rows = {r.tabela: r for r in bronze.ingest(spark, landing, landed, CLOCK, SMALL).collect()}
     assert len(rows) == 9 and all(r.bytes > 0 for r in rows.values())
-    assert rows["raw_vendas"].registros == spark.table("t_bronze.raw_vendas").count()
+    for name, row in rows.items():
+        assert row.registros == spark.table(f"r_bronze.{name}").count() == spark.table(f"t_bronze.{name}").count()
 
 
 def test_description_is_stored(spark, built):

@@ -1,6 +1,7 @@
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from castledger.functions.expr import MONEY
 from castledger.operators import intermediate, marts, reports
@@ -208,3 +209,16 @@ def test_revenue_counts_distinct_ids(spark):
     row = intermediate.int_receita_liquida(df).first()
     assert (row.qtd_vendas, row.qtd_produtos_vendidos, row.qtd_clientes) == (2, 1, 2)
     assert (row.receita_liquida, row.qtd_pecas_vendidas) == (24, 6)
+
+
+def test_a_missing_month_leaves_only_its_own_comparison_empty(spark):
+    from castledger.operators.reports import kpis_by_calendar
+
+    rows = [(2022, m, m, m, m, m) for m in range(1, 13) if m != 3] + [(2023, m, 2 * m, 2 * m, -m, 2 * m) for m in range(1, 5)]
+    statement = spark.createDataFrame(rows, "ano bigint, mes bigint, " + ", ".join(
+        f"{c} int" for c in ("receita_liquida", "lucro_bruto", "ebitda", "lucro_liquido"))).select(
+        "ano", "mes", *[F.col(c).cast("decimal(20,2)") for c in ("receita_liquida", "lucro_bruto", "ebitda", "lucro_liquido")])
+    got = {(r.ano, r.mes): (r.receita_liquida_ano_anterior, r.receita_liquida_yoy_calendario_pct, r.ebitda_yoy_calendario_pct)
+           for r in kpis_by_calendar(statement).collect()}
+    assert got[(2023, 3)] == (None, None, None) and got[(2022, 5)] == (None, None, None)
+    assert [got[(2023, m)] for m in (1, 2, 4)] == [(m, 100, -200) for m in (1, 2, 4)]

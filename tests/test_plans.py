@@ -46,10 +46,17 @@ def test_costs_are_never_broadcast(spark, folder):
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
-def test_budget_reuses_the_aggregated_actuals(spark, folder):
-    df = models(spark, folder).get("mart_orcado_realizado")
-    df.collect()
-    assert "ReusedExchange" in plan_of(df)
+def test_budget_and_actuals_are_read_once(spark, folder, tmp_path):
+    from castledger.operators.marts import mart_orcado_realizado
+
+    m = models(spark, folder)
+    for name in ("stg_orcamento", "stg_despesas"):
+        m.get(name).write.parquet(str(tmp_path / name))
+    df = mart_orcado_realizado(*(spark.read.parquet(str(tmp_path / n)) for n in ("stg_orcamento", "stg_despesas")))
+    plan = plan_of(df)
+    assert plan.count("FileScan parquet") == 2 and "FullOuter" in plan and "Broadcast" not in plan
+    # only the aggregate and the join move rows
+    assert plan.count("Exchange") <= 3
 
 
 def test_month_ranking_has_no_large_task(spark, folder):

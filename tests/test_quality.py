@@ -67,3 +67,22 @@ def test_validation_collects_every_finding_then_raises(spark):
     with pytest.raises(quality.ValidationError, match="4 check"):
         quality.assert_valid(report)
     quality.assert_valid(report.where("failing_rows = 0"))
+
+
+def test_a_file_that_fails_while_it_is_read_is_a_finding(spark, tmp_path):
+    good, broken = str(tmp_path / "good"), str(tmp_path / "broken")
+    rows = spark.createDataFrame([("a", NOW)] * 50, f"k string, {INGESTED_AT} timestamp")
+    rows.write.parquet(good)
+    rows.coalesce(1).write.parquet(broken)
+    (part,) = (tmp_path / "broken").glob("part-*.parquet")
+    content = part.read_bytes()
+    part.write_bytes(b"\x00" * (len(content) - 400) + content[-400:])  # the footer is intact, the pages are not
+    (tmp_path / "broken" / f".{part.name}.crc").unlink()
+    schema = rows.schema
+
+    def source(name):
+        return spark.read.schema(schema).parquet(broken if name == "bad" else good)
+
+    report = quality.validate_bronze(source, [spec("bad", 1), spec("ok", 2)])
+    got = {(r.check_name, r.table_name): r.failing_rows for r in report.collect()}
+    assert got == {("readable", "bad"): 1, ("min_rows", "ok"): 0, ("not_null", "ok"): 0}
