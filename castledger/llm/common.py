@@ -11,12 +11,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-
-def scratch(spark: SparkSession) -> str:
-    """Folder that driver and executors share: ``spark.checkpoint.dir``, or the
-    warehouse where that is unset (as in tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+from castledger.session import shared_folder
 
 
 class Tables:
@@ -28,7 +23,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.folder = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
+        self.folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self.count = 0
 
     def keep(self, frame: DataFrame) -> DataFrame:
@@ -82,3 +77,11 @@ def documents_of(docs: DataFrame) -> DataFrame:
     """Only the two columns the operators read; others, whatever their names, go."""
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"),
                        docs["text"].cast("string").alias("text"))
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the caller's table does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -35,7 +35,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from castledger.llm.common import Tables
+from castledger.llm.common import Tables, unused
 
 TRAIN_ROWS, POOL_ROWS = 10_000, 5_000
 ROUNDS = 2
@@ -224,8 +224,9 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, pool_r
     known = good_labels(labels)
     drawn = known.where(_draw(min(1.0, train_rows / max(labels.count(), 1)), "train"))
     # by its share, the drawn sample has about ``train_rows`` rows at most
-    labelled = docs.join(F.broadcast(drawn.withColumnRenamed("doc_id", "labelled_id")),
-                         docs["doc_id"] == F.col("labelled_id"))
+    labelled_id = unused(docs, "labelled_id")
+    ids = F.broadcast(drawn.select(F.col("doc_id").alias(labelled_id)))
+    labelled = docs.join(ids, docs["doc_id"] == ids[labelled_id])
     labelled = tables.keep(with_views(labelled).join(F.broadcast(drawn), "doc_id")
                            .withColumn("seen", _draw(0.8, "seen")))
     pool = with_views(docs.where("doc_id is not null").where(
