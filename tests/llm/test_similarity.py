@@ -205,11 +205,43 @@ def test_pipeline_stages(spark, folder, tmp_path):
         seen[name] = (before.collect(), docs.collect())
         if name != "byte_bpe":
             assert docs.columns == names
+    before, after = seen["quality"]
+    assert 0 < len(after) < len(before) and {tuple(r) for r in after} <= {tuple(r) for r in before}
+
     before, after = seen["near_dedup"]
-    kept = {d for d, _, _, keep in near_groups([(r.doc_id, r.text) for r in before]) if keep}
+    kept = {d for d, _, _, keep in near_groups([(r.doc_id, r.text) for r in before], 5, 80) if keep}
     assert {r.doc_id for r in after} == kept
+
     before, after = seen["substring_dedup"]
-    assert len(before) == len(after) and all(len(b.text or "") >= 0 for b in after)
+    cut = {r.doc_id: words_of(r.text) for r in after}
+    assert set(cut) == {r.doc_id for r in before}
+    first, phrases, removed = {}, set(), 0
+    for r in sorted(before, key=lambda r: r.doc_id):
+        words, repeated = words_of(r.text), set()
+        for i in range(len(words) - 49):
+            if first.setdefault(tuple(words[i:i + 50]), r.doc_id) < r.doc_id:
+                repeated |= set(range(i, i + 50))
+        assert len(cut[r.doc_id]) <= len(words) - len(repeated)
+        own = {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
+        if not own & phrases:  # nothing in common with earlier documents
+            assert cut[r.doc_id] == words
+        phrases |= own
+        removed += len(words) - len(cut[r.doc_id])
+    assert removed > 0
+
+    before, after = seen["decontamination"]
+    def items(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({i: i + 32 for i in range(65, 91)}))
+
+    windows = {}
+    for row in spark.read.parquet(f"{folder}/benchmark.parquet").collect():
+        words = items(row.text)
+        for i in range(max(len(words) - 9, 1 if words else 0)):
+            windows.setdefault(min(10, len(words)), set()).add(tuple(words[i:i + 10]))
+    clean = {r.doc_id for r in before if not any(
+        tuple(w[i:i + n]) in held for w in [items(r.text)] for n, held in windows.items() for i in range(len(w) - n + 1))}
+    assert {r.doc_id for r in after} == clean
+
     before, after = seen["byte_bpe"]
     assert {r.doc_id for r in before} == {r.doc_id for r in after}
     assert corpus_pipeline.run(spark, folder).count() == len(after)
