@@ -39,7 +39,7 @@ NODES = 8
 #: Most eigenvalues that an interval is given, unless they are too close to part.
 PER_INTERVAL = 6
 #: Share of the largest eigenvalue below which a component has no variance.
-NO_VARIANCE = 1e-12
+NO_VARIANCE = 1e-9
 ROUNDS = 40
 
 OUT = ("vec_id long, component int, n long, deviation long, whitened double, explained double, "
