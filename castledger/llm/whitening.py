@@ -184,7 +184,7 @@ def feast(matrix: np.ndarray, low: float, high: float, count: int) -> tuple[np.n
     size = min(d, 2 * count + 4)
     basis = np.linalg.qr(np.random.default_rng(13).standard_normal((d, size)))[0]
     slack = 1e-11 * scale
-    for _ in range(ROUNDS):
+    for step in range(ROUNDS):
         projected = sum(w / 2 * (radius * np.exp(1j * a) * np.linalg.solve(s, basis)).real
                         for w, a, s in zip(weights, angles, shifted))
         basis = np.linalg.qr(projected)[0]
@@ -198,7 +198,7 @@ def feast(matrix: np.ndarray, low: float, high: float, count: int) -> tuple[np.n
             best = np.flatnonzero(done)[np.argsort(np.abs(values[done] - centre), kind="stable")[:count]]
             best = np.sort(best)
             return values[best], basis[:, best].T
-        if inside.sum() >= size and size < d:  # crowded: more vectors
+        if (inside.sum() >= size or step % 6 == 5) and size < d:  # crowded, or edges that many share: more vectors
             size = min(d, 2 * size)
             extra = np.random.default_rng(size).standard_normal((d, size - basis.shape[1]))
             basis = np.linalg.qr(np.hstack([basis, extra]))[0]
