@@ -24,18 +24,19 @@ def suffix_order(symbols: np.ndarray, length: int) -> np.ndarray:
     key = np.zeros(n, np.uint64)
     for i in range(_PACKED):
         key = (key << np.uint64(9)) | padded[i:i + n]
-    width = _PACKED
+    width, bits = _PACKED, n.bit_length()
+    together = 64 // bits  # ranks that fit into one key
     while True:
         order = np.argsort(key, kind="stable")
         if width >= length:
             return order
         ordered = key[order]
-        rank = np.empty(n, np.uint64)
+        rank = np.zeros(n + (together - 1) * width, np.uint64)  # 0 behind the end
         rank[order] = np.cumsum(np.r_[np.uint64(1), (ordered[1:] != ordered[:-1]).astype(np.uint64)])
-        following = np.zeros(n, np.uint64)
-        following[:max(n - width, 0)] = rank[width:]
-        key = (rank << np.uint64(32)) | following
-        width *= 2
+        key = rank[:n].copy()
+        for i in range(1, together):
+            key = (key << np.uint64(bits)) | rank[i * width:i * width + n]
+        width *= together
 
 
 def marked_edges(symbols: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:

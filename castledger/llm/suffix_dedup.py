@@ -38,7 +38,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from castledger.llm.bwt import least_owner
 from castledger.llm.common import Tables, document_blocks, documents_of, partitions
-from castledger.llm.textwords import mix
+from castledger.llm.textwords import mix, sliding_min
+from castledger.llm.wordvalues import Numbers
 
 LENGTH, ANCHOR = 50, 20
 BLOCK_CHARS = 8_000_000
@@ -46,7 +47,8 @@ BLOCK_CHARS = 8_000_000
 CHUNK = 1_000_000
 #: An anchor with more fragments in a block, or in more blocks, is split.
 BUSY_FRAGMENTS, BUSY_BLOCKS = 32, 256
-_SEGMENT = 1 << 20
+#: Windows hashed at a time: their arrays fit into a core's cache.
+_SEGMENT = 1 << 15
 _NO_ID = np.iinfo(np.int64).max
 _BYTE = np.random.default_rng(50).integers(0, 2**63, 256, dtype=np.uint64)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -73,14 +75,7 @@ def _anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         pieces = mix(sixteen[:-4] * (_FACTOR ** np.uint64(4)) + four[16:])
         # the place in the low bits makes the least value the leftmost
         keys = (pieces & ~np.uint64(0xFFFFFF)) | np.arange(len(pieces), dtype=np.uint64)
-        rows = -(-len(keys) // spread)
-        table = np.full(rows * spread, ~np.uint64(0))
-        table[:len(keys)] = keys
-        table = table.reshape(rows, spread)
-        forward = np.minimum.accumulate(table, axis=1).ravel()
-        backward = np.minimum.accumulate(table[:, ::-1], axis=1)[:, ::-1].ravel()
-        m = stop - at
-        least = np.minimum(backward[:m], forward[spread - 1:spread - 1 + m]) & np.uint64(0xFFFFFF)
+        least = sliding_min(keys, spread) & np.uint64(0xFFFFFF)
         places[at:stop] = least.astype(np.int64) + at
         found[at:stop] = pieces[least]
     return places, found
@@ -119,10 +114,12 @@ class Block:
     def busy(self, limit: int) -> np.ndarray:
         """Which distinct anchors have more than ``limit`` different fragments."""
         busy = np.bincount(self.which, minlength=len(self.distinct)) > limit
-        for a in np.flatnonzero(busy):
-            own = {self.data[f:f + c + self.length - 1] for f, c in zip(
-                *(x[self.which == a].tolist() for x in (self.first, self.count)))}
-            busy[a] = len(own) > limit
+        at = np.flatnonzero(busy[self.which])
+        own: dict[int, set[bytes]] = {}
+        for a, f, c in zip(*(x[at].tolist() for x in (self.which, self.first, self.count))):
+            own.setdefault(a, set()).add(self.data[f:f + c + self.length - 1])
+        for a, contents in own.items():
+            busy[a] = len(contents) > limit
         return busy
 
     def pieces(self, shared: np.ndarray, split: np.ndarray):
@@ -138,10 +135,9 @@ class Block:
                                 + np.arange(counts.sum())])
         count = np.concatenate([self.count[whole], np.ones(counts.sum(), np.int64)])
         text = np.concatenate([self.text[whole], np.repeat(self.text[alone], counts)])
-        numbers: dict[bytes, int] = {}
-        number = np.empty(len(first), np.int64)
-        for i, (f, c) in enumerate(zip(first.tolist(), count.tolist())):
-            number[i] = numbers.setdefault(self.data[f:f + c + self.length - 1], len(numbers))
+        numbers, data = Numbers(), self.data
+        ends = first + count + self.length - 1
+        number = np.fromiter((numbers[data[f:e]] for f, e in zip(first.tolist(), ends.tolist())), np.int64, len(first))
         keys = np.empty(len(numbers), np.uint64)
         keys[number[:whole.sum()]] = self.anchor[whole]
         content = list(numbers)

@@ -58,3 +58,12 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     for i in range(1, size):
         total = mix(total * _MULTIPLIER + hashes[i:i + n])
     return mix(total + np.uint64(size))
+
+
+def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
+    """Least of each run of ``width`` values; empty if there are fewer."""
+    least, covered = values, 1
+    while 2 * covered <= width:
+        least, covered = np.minimum(least[:-covered], least[covered:]), 2 * covered
+    rest = width - covered
+    return np.minimum(least[:-rest], least[rest:]) if rest else least

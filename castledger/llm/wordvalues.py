@@ -39,10 +39,10 @@ VALUES = pa.schema([("block", pa.int64()), ("packed", pa.binary())])
 Valuer = Callable[[Iterable[bytes]], Iterator[np.ndarray]]
 
 
-class _Numbers(dict):
+class Numbers(dict):
     """Numbers words in order of first appearance."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: str | bytes) -> int:
         self[word] = number = len(self)
         return number
 
@@ -59,7 +59,7 @@ def _unpack(data: bytes) -> np.ndarray:
 
 
 def _words(pattern: str, chars: int):
-    def rows(block: int, seen: _Numbers) -> Iterator[pa.RecordBatch]:
+    def rows(block: int, seen: Numbers) -> Iterator[pa.RecordBatch]:
         words = iter(seen)
         for at in range(0, len(seen), 20_000):
             part = [w.encode() for w in islice(words, 20_000)]
@@ -71,7 +71,7 @@ def _words(pattern: str, chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
         for block, docs in groupby(document_blocks(batches, chars), itemgetter(0)):
-            seen = _Numbers()
+            seen = Numbers()
             for _, _, text in docs:
                 deque(map(seen.__getitem__, find(text)), 0)
             yield from rows(block, seen)
@@ -82,7 +82,7 @@ def _places(pattern: str, chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
         for block, docs in groupby(document_blocks(batches, chars), itemgetter(0)):
-            seen = _Numbers()
+            seen = Numbers()
             ids, packed = [], []
             for _, doc, text in docs:
                 found = find(text)
