@@ -13,13 +13,16 @@ hot. The input is scanned twice and must give the same rows in the same order
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import deque
 from collections.abc import Callable, Iterable, Iterator
+from functools import cache
 from itertools import groupby, islice
 from operator import itemgetter
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
@@ -58,6 +61,27 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+@cache
+def _below_17_bits() -> str:
+    """``public_tokenizers.PATTERN`` for Python's own, faster engine: its classes spelled out
+    as ``regex`` has them, for texts without characters beyond 16 bits."""
+    every = "".join(map(chr, range(1 << 16)))
+    letters, numbers, spaces = (
+        "".join(rf"\u{run.start():04x}-\u{run.end() - 1:04x}" for run in regex.finditer(kind, every))
+        for kind in (r"\p{L}+", r"\p{N}+", r"\s+"))
+    return (rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^{spaces}{letters}{numbers}]+"
+            rf"|[{spaces}]+(?![^{spaces}])|[{spaces}]+")
+
+
+def finder(pattern: str) -> Callable[[str], list[str]]:
+    """``findall`` of the pattern."""
+    find = regex.compile(pattern).findall
+    if pattern != public_tokenizers.PATTERN:
+        return find
+    quick, beyond = re.compile(_below_17_bits()).findall, re.compile("[\U00010000-\U0010ffff]").search
+    return lambda text: quick(text) if text.isascii() or not beyond(text) else find(text)
+
+
 def _words(pattern: str, chars: int):
     def rows(block: int, seen: Numbers) -> Iterator[pa.RecordBatch]:
         words = iter(seen)
@@ -69,7 +93,7 @@ def _words(pattern: str, chars: int):
                 pa.array(part, pa.binary())], schema=WORDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = regex.compile(pattern).findall
+        find = finder(pattern)
         for block, docs in groupby(document_blocks(batches, chars), itemgetter(0)):
             seen = Numbers()
             for _, _, text in docs:
@@ -80,7 +104,7 @@ def _words(pattern: str, chars: int):
 
 def _places(pattern: str, chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = regex.compile(pattern).findall
+        find = finder(pattern)
         for block, docs in groupby(document_blocks(batches, chars), itemgetter(0)):
             seen = Numbers()
             ids, packed = [], []

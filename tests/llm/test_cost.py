@@ -1,8 +1,10 @@
 """What the operators spend: work that must not come back."""
 
 import numpy as np
+import public_tokenizers
+import regex
 
-from castledger.llm import bwt, suffix_dedup
+from castledger.llm import bwt, suffix_dedup, wordvalues
 from castledger.llm.textwords import sliding_min
 
 
@@ -44,3 +46,19 @@ def test_busy_anchors_look_at_their_own_fragments(monkeypatch):
     for limit in (1, 3, 19):
         assert block.busy(limit).tolist() == [len(fragments[a]) > limit for a in range(len(block.distinct))]
     assert Compared.scans == 0  # one scan of the block for each busy anchor before
+
+
+def test_words_by_the_quick_engine(monkeypatch):
+    find = regex.compile(public_tokenizers.PATTERN).findall
+    quick = wordvalues.finder(public_tokenizers.PATTERN)
+    for c in map(chr, range(0x20000)):
+        text = f"a{c}{c} 1{c}'s {c}  {c}x '{c}"
+        assert quick(text) == find(text)
+
+    class Unused:
+        def findall(self, text):
+            raise AssertionError("the slow engine read it")
+
+    monkeypatch.setattr(wordvalues.regex, "compile", lambda pattern: Unused())
+    assert wordvalues.finder(public_tokenizers.PATTERN)("It's 5 o’clock,  né?\n") == [
+        "It", "'s", " 5", " o", "’", "clock", ",", " ", " né", "?", "\n"]
