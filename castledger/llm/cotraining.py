@@ -249,6 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, pool_r
                 sure = F.abs(odds) >= math.log(SURE / (1 - SURE))
                 extra[name] = (views[other].score(pool).where(sure)
                                .withColumn("good", (odds > 0).cast("double")).drop(f"{other}_odds"))
+        tables.release()  # each iteration leaves vectors of all features and a broadcast
     unseen = labelled.where("not seen")
     return Classifier([_calibrate(v, unseen) for v in views.values()], math.log(good / (total - good)))
 

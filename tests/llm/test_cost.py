@@ -4,7 +4,8 @@ import numpy as np
 import public_tokenizers
 import regex
 
-from castledger.llm import bwt, suffix_dedup, wordvalues
+from castledger.llm import bwt, cotraining, suffix_dedup, wordvalues
+from castledger.llm.common import Tables
 from castledger.llm.textwords import sliding_min
 
 
@@ -62,3 +63,14 @@ def test_words_by_the_quick_engine(monkeypatch):
     monkeypatch.setattr(wordvalues.regex, "compile", lambda pattern: Unused())
     assert wordvalues.finder(public_tokenizers.PATTERN)("It's 5 o’clock,  né?\n") == [
         "It", "'s", " 5", " o", "’", "clock", ",", " ", " né", "?", "\n"]
+
+
+def test_fits_free_the_drivers_memory(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "good words here" if i % 2 else "bad ### text", "web", "en", 12) for i in range(80)],
+                                 "doc_id long, text string, source string, lang string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    released = []
+    monkeypatch.setattr(Tables, "release", lambda self: released.append(1))
+    kept = {r["doc_id"] for r in cotraining.fit(docs, labels).score(docs).where("kept").collect()}
+    assert kept == set(range(1, 80, 2))
+    assert len(released) == cotraining.ROUNDS + 1  # never before
