@@ -4,7 +4,7 @@ import numpy as np
 import public_tokenizers
 import regex
 
-from castledger.llm import bwt, cotraining, suffix_dedup, wordvalues
+from castledger.llm import bwt, compact_windows, cotraining, suffix_dedup, wordvalues
 from castledger.llm.common import Tables
 from castledger.llm.textwords import sliding_min
 
@@ -65,6 +65,24 @@ def test_words_by_the_quick_engine(monkeypatch):
         "It", "'s", " 5", " o", "’", "clock", ",", " ", " né", "?", "\n"]
 
 
+def test_pairs_are_verified_in_rounds(spark, monkeypatch):
+    passage = [f"word{i}" for i in range(70)]
+    docs = spark.createDataFrame(
+        [(i, " ".join([f"own{i}x{k}" for k in range(60 * (i % 3))] + passage)) for i in range(24)], "doc_id long, text string")
+    released = []
+    monkeypatch.setattr(Tables, "release", lambda self: released.append(1))
+
+    def found():
+        return {r["doc_id"]: [tuple(p) for p in r["passages"]]
+                for r in compact_windows.repeated_passages(docs).select("doc_id", "passages").collect()}
+
+    many = found()
+    assert len(released) >= 2 * compact_windows.ROUNDS  # only between steps before
+    monkeypatch.setattr(compact_windows, "ROUNDS", 1)
+    assert found() == many
+    assert many == {i: [(60 * (i % 3), 60 * (i % 3) + 70)] if i else [] for i in range(24)}
+
+
 def test_fits_free_the_drivers_memory(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "good words here" if i % 2 else "bad ### text", "web", "en", 12) for i in range(80)],
                                  "doc_id long, text string, source string, lang string, n_chars long")
