@@ -6,7 +6,7 @@ import regex
 
 from castledger.llm import bwt, compact_windows, cotraining, suffix_dedup, wordvalues
 from castledger.llm.common import Tables
-from castledger.llm.textwords import sliding_min
+from castledger.llm.textwords import block_words, sliding_min, space_words
 
 
 def test_least_of_runs():
@@ -92,3 +92,59 @@ def test_fits_free_the_drivers_memory(spark, monkeypatch):
     kept = {r["doc_id"] for r in cotraining.fit(docs, labels).score(docs).where("kept").collect()}
     assert kept == set(range(1, 80, 2))
     assert len(released) == cotraining.ROUNDS + 1  # never before
+
+
+def test_words_are_hashed_without_objects():
+    rng = np.random.default_rng(6)
+    texts = ["", " ", "a b A B ab ba", "x" * 70_000 + " y " + "x" * 70_000, "", "é Ü\x1c a\x85b\tq\n", "end", "start"]
+    texts += ["".join(rng.choice(list("abAB \n"), rng.integers(0, 9))) for _ in range(300)] + ["q w " * 30_000]
+    data = [t.encode() for t in texts]
+    hashes, n_words = block_words(b"".join(data), np.array([len(t) for t in data]))
+    words = [space_words(t) for t in texts]
+    assert n_words.tolist() == [len(w) for w in words]
+    known = {}
+    for word, value in zip((w for own in words for w in own), hashes.tolist(), strict=True):
+        assert known.setdefault(word, value) == value
+    assert len(set(known.values())) == len(known)
+
+
+def test_overlapping_windows_of_a_key_are_one():
+    rng = np.random.default_rng(7)
+    which, text, first = (rng.integers(0, n, 400) for n in (5, 4, 200))
+    last = first + rng.integers(45, 60, 400)
+
+    def held(which, text, first, last):
+        return {(w, t, x) for w, t, a, b in zip(*(v.tolist() for v in (which, text, first, last))) for x in range(a, b + 1)}
+
+    w, t, place, a, b = compact_windows.united_windows(which, text, first + 20, first, last)
+    assert held(w, t, a, b) == held(which, text, first, last)
+    assert len(w) < 100 and (a <= place).all() and (place <= b).all() and (np.diff(t) >= 0).all()
+
+
+def test_windows_of_lines_far_apart_hold_no_stretch():
+    function, first = np.array([0, 1, 2, 2]), np.array([0, 100, 120, 300])
+    flags = compact_windows.agreed(400, function, first, first + 59)
+    low, high = compact_windows.long_runs(flags, 30)
+    assert (low.tolist(), high.tolist()) == ([120], [159])
+    assert not len(compact_windows.long_runs(flags, 41)[0])
+
+
+def test_a_known_passage_alone_is_no_candidate():
+    """Who shares the passage, and nothing beyond, can't prolong it: joined before."""
+    values = np.arange(146, dtype=np.uint32)
+    passages = [{"first": 0, "end": 100 + 4}]
+    starts = compact_windows.open_starts(146, [{"low": 0, "high": 145}], passages, 46, 5)
+    frequency = {v: 400 if v < 100 else 2 for v in range(128)}
+    able = compact_windows.able(starts, values < 128, 46, 80)
+    rows = compact_windows.wanted_members(values, frequency, able, passages, 46, 80, 5)
+    assert {r[1] for r in rows if r[4]} == set(range(100, 128))  # new ones
+    assert all(r[5] == r[6] == 0 for r in rows if not r[4]) and any(not r[4] for r in rows)
+    frequency |= {v: 9000 for v in range(100, 128)}  # now they may be left out, and any member may be next to one
+    assert all(r[4] for r in compact_windows.wanted_members(values, frequency, able, passages, 46, 80, 5) if r[1] >= 60)
+
+
+def test_texts_without_a_dense_stretch_are_not_chained(monkeypatch):
+    monkeypatch.setattr(compact_windows, "partners", None)
+    line = np.arange(20, dtype=np.uint32)
+    a, b = (np.concatenate([line, np.arange(100) + n, line]).astype(np.uint32) for n in (1000, 2000))
+    assert compact_windows.similar_passages(a, b, 46, 80) == []
