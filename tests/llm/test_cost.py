@@ -148,3 +148,22 @@ def test_texts_without_a_dense_stretch_are_not_chained(monkeypatch):
     line = np.arange(20, dtype=np.uint32)
     a, b = (np.concatenate([line, np.arange(100) + n, line]).astype(np.uint32) for n in (1000, 2000))
     assert compact_windows.similar_passages(a, b, 46, 80) == []
+
+
+def test_members_are_counted_in_rounds(spark, tmp_path, monkeypatch):
+    """What only a document that heads no group has, found from parts of the members."""
+    passage, line = [f"p{i}" for i in range(60)], [f"q{i}" for i in range(60)]
+    texts = [passage[:30] + [f"own{i}x{k}" for k in range(40)] + passage[30:] for i in range(6)] + [passage + line, line + passage]
+    spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    filters, bits = [], compact_windows._member_bits
+    monkeypatch.setattr(compact_windows, "_member_bits", lambda members: filters.append(1) or bits(members))
+
+    def found():
+        docs = spark.read.parquet(str(tmp_path / "d"))
+        return {r["doc_id"]: [tuple(p) for p in r["passages"]]
+                for r in compact_windows.repeated_passages(docs).select("doc_id", "passages").collect()}
+
+    many = found()
+    assert len(filters) == compact_windows.ROUNDS + 1  # 2 before: all members at once
+    monkeypatch.setattr(compact_windows, "ROUNDS", 1)
+    assert found() == many and many[7] == [(0, 120)] and not many[6]
