@@ -69,6 +69,21 @@ def test_of_one_key_the_latest_row_of_a_batch_wins(spark, root):
     assert held(store, spark) == [("a", day(2).date(), 2.0)]
 
 
+def test_only_rows_whose_key_repeats_are_folded(spark, root):
+    """A maximum of structs sorts all its rows: batches without repeated keys pass as they are."""
+    store = MonthStore(root, SALES)
+    rows = batch(spark, ("a", day(1), 1.0), ("b", day(1), 2.0), (None, day(1), 3.0), (None, day(1), 3.0))
+    whole = upsert._newest(rows, store, f"{root}/once")
+    assert "Aggregate" not in whole._jdf.queryExecution().toString() and whole.count() == 4
+    folded = upsert._newest(rows.union(batch(spark, ("b", day(2), 1.0))), store, f"{root}/twice")
+    assert sorted(((r.venda_id, r.valor_bruto) for r in folded.collect()), key=repr) == [
+        ("a", 1.0), ("b", 1.0), (None, 3.0), (None, 3.0)]
+
+
+def test_costs_of_one_small_file_of_products_are_made_by_several_tasks(spark, folder):
+    assert TestData(spark, folder).raw_custos().select(F.spark_partition_id()).distinct().count() > 1
+
+
 def test_a_replayed_batch_changes_nothing(spark, root):
     store = MonthStore(root, SALES)
     rows = batch(spark, ("a", day(1), 1.0), (None, day(1), 2.0))
